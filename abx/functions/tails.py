@@ -19,8 +19,12 @@ from pyspark.sql import types as T
 # and pandas only, not this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_erfc = np.vectorize(math.erfc, otypes=[float])
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
+def _erfc(x: np.ndarray) -> np.ndarray:
+    return np.array([math.erfc(v) for v in np.asarray(x, dtype=float).ravel()], dtype=float).reshape(np.shape(x))
+
+
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    return np.array([math.lgamma(v) for v in np.asarray(x, dtype=float).ravel()], dtype=float).reshape(np.shape(x))
 
 
 def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, max_iter: int = 20000) -> np.ndarray:
