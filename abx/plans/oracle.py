@@ -486,4 +486,13 @@ SELECT sum(n)::BIGINT AS n_rows, count_if(listing_id IS NOT NULL)::BIGINT AS n_k
        coalesce(sum(CASE WHEN listing_id IS NULL THEN n END), 0)::BIGINT AS null_keys,
        count_if(listing_id IS NOT NULL AND n > 1)::BIGINT AS duplicate_keys FROM k"""
 
+Q["stream_user_day_metrics"] = BASE + f"""
+SELECT user_id, {D('date')} AS date, {UD_COLS}, {R6('total_purchase_amount')} AS total_purchase_amount
+FROM user_days
+WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
+
+Q["stream_assign"] = BASE + """
+SELECT a.user_id, a."group", a.experiment_id, a.experiment_ratio
+FROM assignments a WHERE a.user_id IN (SELECT user_id FROM events)"""
+
 ORACLE_SQL = Q

@@ -232,6 +232,67 @@ def q_feature_key_check(spark, sf_dir):
     return AU.key_check(feats, "listing_id")
 
 
+# ------------------------------------------------------------------ models
+
+MODEL_PARAMS = {"control": (0.05, 0.05), "treatment": (0.5, 0.5)}
+
+
+def _model_table(spark, sf_dir):
+    from abx.operators import models as MD
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return MD.model_table(ev, FX.users(spark, sf_dir))
+
+
+def q_price_model(spark, sf_dir):
+    """Elastic-net coefficients (alpha 0.05, l1_ratio 0.05) on the user-day model table."""
+    from abx.operators import models as MD
+    t = _model_table(spark, sf_dir)
+    feats = MD.feature_columns(t)
+    m = MD.fit_linear(t, feats, params=MD.ElasticNet(0.05, 0.05))
+    return spark.createDataFrame(MD.coefficients(m, feats), "feature string, coefficient double")
+
+
+def q_price_model_metrics(spark, sf_dir):
+    from abx.operators import models as MD
+    t = _model_table(spark, sf_dir)
+    feats = MD.feature_columns(t)
+    m = MD.fit_linear(t, feats, params=MD.ElasticNet(0.05, 0.05))
+    return present(MD.fit_metrics(t.withColumn("prediction", MD.linear_expr(MD.coefficients(m, feats)))))
+
+
+def q_score_by_group(spark, sf_dir):
+    """exp_all users' days scored by the model of their group (two parameter sets)."""
+    from abx.operators import models as MD
+    t = _model_table(spark, sf_dir)
+    feats = MD.feature_columns(t)
+    coefs = {g: MD.coefficients(MD.fit_linear(t, feats, params=MD.ElasticNet(a, r)), feats)
+             for g, (a, r) in MODEL_PARAMS.items()}
+    exps = [e for e in FIXTURE_EXPERIMENTS if e.experiment_id == FLAGSHIP_EXPERIMENT]
+    a = A.assign(FX.users(spark, sf_dir), exps).select("user_id", "group")
+    scored, _ = MD.score_by_group(t.join(a, "user_id"), coefs)
+    return present(scored.select("user_id", "date", "group", "label", "prediction"))
+
+
+# ------------------------------------------------------------------ streaming
+
+STREAM_WATERMARK = "1 hour"
+
+
+def q_stream_user_day_metrics(spark, sf_dir):
+    """User-day metrics from the log read as a stream; days closed by the watermark."""
+    from abx.streaming import stream as ST
+    log = ST.stream_userlog(spark, sf_dir)
+    return present(ST.run_available(ST.stream_user_day_metrics(log, watermark=STREAM_WATERMARK), "udm"))
+
+
+def q_stream_assign(spark, sf_dir):
+    """Groups of active users as assigned on the stream (must equal batch)."""
+    from abx.streaming import stream as ST
+    log = ST.stream_userlog(spark, sf_dir)
+    out = ST.run_available(ST.stream_exposures(log, FX.users(spark, sf_dir), FIXTURE_EXPERIMENTS), "assign")
+    return out.distinct()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_day_metrics": q_user_day_metrics,
     "assign_hash": q_assign_hash,
@@ -267,4 +328,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_key_unique": q_user_key_unique,
     "one_hot": q_one_hot,
     "feature_key_check": q_feature_key_check,
+    "price_model": q_price_model,
+    "price_model_metrics": q_price_model_metrics,
+    "score_by_group": q_score_by_group,
+    "stream_user_day_metrics": q_stream_user_day_metrics,
+    "stream_assign": q_stream_assign,
 }
