@@ -174,14 +174,18 @@ def aa_test(per_user: DataFrame, assignments: DataFrame, salts: int = 100,
     into per-(experiment, salt, side) moments by partial aggregation.
     """
     salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    pop = assignments.select("experiment_id", "user_id").join(
-        per_user.select("experiment_id", "user_id", "value"), ["experiment_id", "user_id"], "left")
-    x = pop.select("experiment_id", "user_id", "value", salt)
-    side = F.when(hash_unit(F.col("experiment_id"), F.lit("aa"), F.col("salt"), F.col("user_id"))
-                  < F.lit(0.5 * TWO_POW_32), F.lit(TREATMENT)).otherwise(F.lit(CONTROL))
-    x = x.withColumn("group", side)
-    m = conditional_moments(x.filter(F.col("value").isNotNull()), ["experiment_id", "salt"], "value")
-    n = x.groupBy("experiment_id", "salt").agg(
+
+    def split(df: DataFrame) -> DataFrame:
+        side = F.when(hash_unit(F.col("experiment_id"), F.lit("aa"), F.col("salt"), F.col("user_id"))
+                      < F.lit(0.5 * TWO_POW_32), F.lit(TREATMENT)).otherwise(F.lit(CONTROL))
+        return df.select("*", salt).withColumn("group", side)
+
+    # Users with a value (a subset of the assigned users) give the moments;
+    # all assigned users give the side sizes. Both fold into per-(experiment,
+    # salt) rows before they meet, so no user-level join is needed.
+    m = conditional_moments(split(per_user.select("experiment_id", "user_id", "value")),
+                            ["experiment_id", "salt"], "value")
+    n = split(assignments.select("experiment_id", "user_id")).groupBy("experiment_id", "salt").agg(
         F.count_if(F.col("group") == CONTROL).alias("users_control"),
         F.count_if(F.col("group") == TREATMENT).alias("users_treatment"))
     y = n.join(m, ["experiment_id", "salt"], "left")

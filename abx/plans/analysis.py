@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from abx.config import DEFAULT_ACTIVITIES, Experiment
@@ -85,14 +85,36 @@ class ExperimentAnalysis:
     def cumulative(self) -> DataFrame:
         return W.cumulative_by_group(self.group_day_totals())
 
+    def group_day_stats(self, metric: str = "total_purchase_amount") -> DataFrame:
+        """One aggregation of exposed user-days per (date, group, experiment):
+        totals over all user-days and the moments of the non-zero ones."""
+        m = F.col(metric)
+        nz = m != 0
+        return self.exposed.groupBy("date", "group", "experiment_id").agg(
+            F.sum(m).alias("total_amount"), F.count(F.lit(1)).alias("user_days"),
+            F.count_if(nz).alias("_n"), F.sum(F.when(nz, m)).alias("_s"), F.var_samp(F.when(nz, m)).alias("_v"))
+
     def experiment_results(self) -> DataFrame:
         """Long layout: one row per (date, group, experiment) with totals,
         running sum, day index; the control row carries the t statistic
-        ('Stats'), the treatment row the p-value ('P_value')."""
-        base = W.experiment_day(self.cumulative(), self.experiments_df)
-        tt = self.daily_ttest().select("experiment_id", "date", "t_stat", "p_value")
-        # experiments x days rows: bounded by the calendar, not by users.
-        x = base.join(F.broadcast(tt), ["experiment_id", "date"], "left")
+        ('Stats'), the treatment row the p-value ('P_value').
+
+        The log is read and aggregated once; everything after the group-day
+        aggregation runs on experiments x days x 2 rows.
+        """
+        gd = self.group_day_stats()
+        # Both sides' moments onto each group-day row by a window over
+        # (experiment, date): one linear plan, so the log is scanned once.
+        day = Window.partitionBy("experiment_id", "date")
+        x = gd
+        for tag in ("control", "treatment"):
+            on = F.col("group") == tag
+            x = x.withColumn(f"n_{tag}", F.coalesce(F.max(F.when(on, F.col("_n"))).over(day), F.lit(0)))
+            x = x.withColumn(f"sum_{tag}", F.max(F.when(on, F.col("_s"))).over(day))
+            x = x.withColumn(f"var_{tag}", F.max(F.when(on, F.col("_v"))).over(day))
+            x = x.withColumn(f"mean_{tag}", F.try_divide(F.col(f"sum_{tag}"), F.col(f"n_{tag}")))
+        x = S.daily_ttest(x)
+        x = W.experiment_day(W.cumulative_by_group(x), self.experiments_df)
         is_c, is_t = F.col("group") == A.CONTROL, F.col("group") == A.TREATMENT
         x = x.withColumn("ab_description", F.when(is_c, F.lit("Stats")).when(is_t, F.lit("P_value")))
         x = x.withColumn("ab_value", F.when(is_c, F.col("t_stat")).when(is_t, F.col("p_value")))
