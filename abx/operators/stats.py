@@ -230,20 +230,49 @@ def sample_size(pre_user: DataFrame, assignments: DataFrame, mde_rel: float = 0.
     return x.select("experiment_id", "n_users", "pre_sum", "pre_mean", "pre_var", "delta", "required_per_group")
 
 
-def sample_progress(exposed: DataFrame, experiments: DataFrame, sizes: DataFrame) -> DataFrame:
+def sample_progress(exposed: DataFrame, experiments: DataFrame, assignments: DataFrame,
+                    mde_rel: float = 0.1, alpha: float = 0.05, power: float = 0.8) -> DataFrame:
     """Per (experiment_id, group, date) in the treatment period: users seen so far
-    (first active day counted once) against the required size; ``reached`` flags
-    the days from which the test may be read."""
-    e = F.broadcast(experiments.select("experiment_id", "start_date", "end_date"))
-    first = (exposed.join(e, "experiment_id")
-             .filter((F.col("date") >= F.col("start_date")) & (F.col("date") <= F.col("end_date")))
-             .groupBy("experiment_id", "group", "user_id").agg(F.min("date").alias("date")))
-    daily = first.groupBy("experiment_id", "group", "date").agg(F.count(F.lit(1)).alias("new_users"))
+    (first active day counted once) against the minimum size per group from
+    ``sample_size``; ``reached`` flags the days from which the test may be read.
+
+    One pass over the log: a per-user aggregation gives both the pre-period
+    value and the first treatment-period day; it folds to (experiment, group,
+    first day) rows carrying pre-period moments, which are combined per
+    experiment by Chan's formula on those few rows.
+    """
     from pyspark.sql import Window
+    zsum = z_quantile(1 - alpha / 2) + z_quantile(power)
+    e = F.broadcast(experiments.select("experiment_id", "start_date", "end_date", "pre_days"))
+    x = exposed.join(e, "experiment_id")
+    post = (F.col("date") >= F.col("start_date")) & (F.col("date") <= F.col("end_date"))
+    pre = (F.col("date") < F.col("start_date")) & (F.col("date") >= F.date_sub(F.col("start_date"), F.col("pre_days")))
+    per_user = x.groupBy("experiment_id", "group", "user_id").agg(
+        F.min(F.when(post, F.col("date"))).alias("first_day"),
+        F.sum(F.when(pre, F.col("total_purchase_amount"))).alias("pre_value"))
+    cells = per_user.groupBy("experiment_id", "group", "first_day").agg(
+        F.count(F.lit(1)).alias("new_users"),
+        F.count("pre_value").alias("_n"), F.sum("pre_value").alias("_s"), F.var_samp("pre_value").alias("_v"))
+    whole = Window.partitionBy("experiment_id")
+    cells = cells.withColumn("_m", F.try_divide(F.col("_s"), F.col("_n")))
+    cells = cells.withColumn("_n_all", F.sum("_n").over(whole)).withColumn("pre_sum", F.coalesce(F.sum("_s").over(whole), F.lit(0.0)))
+    cells = cells.withColumn("_mean_all", F.try_divide(F.col("pre_sum"), F.col("_n_all")))
+    within = F.coalesce(F.col("_v"), F.lit(0.0)) * F.greatest(F.col("_n") - F.lit(1), F.lit(0))
+    between = F.coalesce(F.col("_n") * (F.col("_m") - F.col("_mean_all")) * (F.col("_m") - F.col("_mean_all")), F.lit(0.0))
+    cells = cells.withColumn("_m2_all", F.sum(within + between).over(whole))
+    n = F.broadcast(assignments.groupBy("experiment_id").agg(F.count(F.lit(1)).alias("n_users")))
+    cells = cells.join(n, "experiment_id")
+    var_active = F.try_divide(F.col("_m2_all"), F.col("_n_all") - F.lit(1))
+    mean, var = merge_zeros(F.col("_n_all"), F.col("pre_sum"), var_active, F.col("n_users"))
+    delta = mean * F.lit(float(mde_rel))
+    need = F.ceil(F.try_divide(F.lit(2.0 * zsum * zsum) * var, delta * delta))
+    cells = cells.withColumn("required_per_group", need)
+    daily = cells.filter(F.col("first_day").isNotNull()).select(
+        "experiment_id", "group", F.col("first_day").alias("date"), "new_users", "required_per_group")
     w = Window.partitionBy("experiment_id", "group").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     daily = daily.withColumn("users_so_far", F.sum("new_users").over(w))
-    out = daily.join(F.broadcast(sizes.select("experiment_id", "required_per_group")), "experiment_id", "left")
-    return out.withColumn("reached", F.coalesce(F.col("users_so_far") >= F.col("required_per_group"), F.lit(False)))
+    daily = daily.withColumn("reached", F.coalesce(F.col("users_so_far") >= F.col("required_per_group"), F.lit(False)))
+    return daily.select("experiment_id", "group", "date", "new_users", "users_so_far", "required_per_group", "reached")
 
 
 def experiment_overlap(assignments: DataFrame, experiment_ids: Sequence[str]) -> DataFrame:

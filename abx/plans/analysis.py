@@ -144,8 +144,8 @@ class ExperimentAnalysis:
         pre = S.user_totals(self.exposed, self.experiments_df, phase="pre")
         return S.sample_size(pre, self.assignments, mde_rel, alpha, power)
 
-    def sample_progress(self, mde_rel: float = 0.1) -> DataFrame:
-        return S.sample_progress(self.exposed, self.experiments_df, self.sample_size(mde_rel))
+    def sample_progress(self, mde_rel: float = 0.1, alpha: float = 0.05, power: float = 0.8) -> DataFrame:
+        return S.sample_progress(self.exposed, self.experiments_df, self.assignments, mde_rel, alpha, power)
 
     def experiment_overlap(self) -> DataFrame:
         return S.experiment_overlap(self.assignments, [e.experiment_id for e in self.experiments])
