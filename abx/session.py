@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -54,8 +53,9 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (a test on one machine) is a fresh
-    scratch folder set.
+    When the session names none, a folder under the session's warehouse
+    location (shared storage on a cluster) is set; tests set their own
+    scratch folder before this is reached.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,7 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="abx-ckpt-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}/_abx_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
