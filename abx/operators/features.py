@@ -56,3 +56,21 @@ def write_feature_table(df: DataFrame, key: str, path: str, mode: str = "overwri
     from abx.operators.audits import assert_unique_key
     assert_unique_key(df, key)
     df.write.mode(mode).parquet(path)
+
+
+def one_hot_sparse(df: DataFrame, columns: Sequence[str], output: str = "features",
+                   numeric: Sequence[str] = ()):
+    """Sparse one-hot for model input when levels are many: StringIndexer +
+    OneHotEncoder(dropLast=False) per column, assembled with ``numeric`` into
+    one vector column. Levels are learned on the cluster (no cap needed).
+    Returns (fitted pipeline model, transformed frame)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
+           for c in columns]
+    enc = OneHotEncoder(inputCols=[f"{c}__idx" for c in columns], outputCols=[f"{c}__vec" for c in columns],
+                        dropLast=False, handleInvalid="error")
+    asm = VectorAssembler(inputCols=list(numeric) + [f"{c}__vec" for c in columns], outputCol=output)
+    model = Pipeline(stages=[*idx, enc, asm]).fit(df)
+    out = model.transform(df).drop(*[f"{c}__idx" for c in columns], *[f"{c}__vec" for c in columns])
+    return model, out
