@@ -2,7 +2,8 @@
 
 Each takes (spark, sf_dir) and returns a DataFrame over whole tables. Output
 is presented for cross-engine comparison: days as 'yyyy-MM-dd' strings and
-doubles rounded half up at 1e-6 (``round6``); means of money are shown as
+doubles rounded half up at 1e-6 (``round6``; variances at 1e-4 with ``round4``,
+since exact variances of cent data can fall on a 1e-6 tie); means of money are shown as
 whole-cent sums over counts, so summation order cannot move a printed digit.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abx.config import FIXTURE_EXPERIMENTS
-from abx.functions.columns import date_label, round6, to_cents
+from abx.functions.columns import date_label, round4, round6, to_cents
 from abx.operators import assign as A
 from abx.operators import audits as AU
 from abx.operators import features as FE
@@ -26,11 +27,16 @@ from abx.sources import fixtures as FX
 FLAGSHIP_EXPERIMENT = "exp_all"
 
 
+VARIANCE_COLUMNS = {"var_control", "var_treatment", "pre_var", "stddev"}
+
+
 def present(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DateType):
             cols.append(date_label(F.col(f.name)).alias(f.name))
+        elif f.name in VARIANCE_COLUMNS:
+            cols.append(round4(F.col(f.name)).alias(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(round6(F.col(f.name)).alias(f.name))
         else:
@@ -285,6 +291,7 @@ def q_stream_user_day_metrics(spark, sf_dir):
     return present(ST.run_available(ST.stream_user_day_metrics(log, watermark=STREAM_WATERMARK), "udm"))
 
 
+
 def q_stream_assign(spark, sf_dir):
     """Groups of active users as assigned on the stream (must equal batch)."""
     from abx.streaming import stream as ST

@@ -78,14 +78,26 @@ def stream_exposures(log: DataFrame, users: DataFrame, experiments: Sequence[Exp
     return assign(ev, experiments)
 
 
-def run_available(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+def run_available(df: DataFrame, name: str, output_mode: str = "append",
+                  state_partitions: int | None = None) -> DataFrame:
     """Run a streaming frame over everything available now into a parquet sink
-    under the checkpoint folder; return the sink as a batch frame."""
+    under the checkpoint folder; return the sink as a batch frame.
+
+    State partitions are fixed when a checkpoint is created; by default they
+    follow the cluster's parallelism (its total cores), not the batch shuffle
+    setting.
+    """
     spark = df.sparkSession
     base = scratch_path(spark, f"stream-{name}")
-    q = (df.writeStream.outputMode(output_mode).format("parquet")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .trigger(availableNow=True).start())
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        q = (df.writeStream.outputMode(output_mode).format("parquet")
+             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
