@@ -39,12 +39,6 @@ def round6(x) -> Column:
     return F.floor(_c(x) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
-def round4(x) -> Column:
-    """Half up at 1e-4, for variances: exact values of cent data can sit on a
-    1e-6 tie, where engines' last-bit differences would pick different sides."""
-    return F.floor(_c(x) * F.lit(1e4) + F.lit(0.5)) / F.lit(1e4)
-
-
 def to_cents(x) -> Column:
     """Money sums back to whole cents (drops summation-order noise)."""
     return F.floor(_c(x) * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)

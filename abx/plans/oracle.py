@@ -19,10 +19,6 @@ def R6(x: str) -> str:
     return f"(floor(({x}) * 1e6 + 0.5) / 1e6)"
 
 
-def R4(x: str) -> str:
-    return f"(floor(({x}) * 1e4 + 0.5) / 1e4)"
-
-
 def CENTS(x: str) -> str:
     return f"(floor(({x}) * 100.0 + 0.5) / 100.0)"
 
@@ -186,9 +182,9 @@ Q["group_day_moments"] = BASE + f"""
 , m AS ({_DAY_MOMENTS})
 SELECT experiment_id, {D('date')} AS date,
   n_control, {R6(CENTS('sum_control'))} AS sum_control, {R6(DIV(CENTS('sum_control'), 'n_control'))} AS mean_control,
-  {R4('var_control')} AS var_control,
+  {R6('sqrt(var_control)')} AS sd_control,
   n_treatment, {R6(CENTS('sum_treatment'))} AS sum_treatment, {R6(DIV(CENTS('sum_treatment'), 'n_treatment'))} AS mean_treatment,
-  {R4('var_treatment')} AS var_treatment
+  {R6('sqrt(var_treatment)')} AS sd_treatment
 FROM m"""
 
 Q["daily_ttest"] = BASE + f"""
@@ -283,7 +279,7 @@ p AS ({student_p('t')})
 SELECT experiment_id, n_control, n_treatment, active_control, active_treatment,
   {R6(DIV(CENTS('sum_control'), 'n_control'))} AS mean_control,
   {R6(DIV(CENTS('sum_treatment'), 'n_treatment'))} AS mean_treatment,
-  {R4('var_control')} AS var_control, {R4('var_treatment')} AS var_treatment,
+  {R6('sqrt(var_control)')} AS sd_control, {R6('sqrt(var_treatment)')} AS sd_treatment,
   {R6('t_stat')} AS t_stat, {R6('df')} AS df, {R6('p_value')} AS p_value
 FROM p"""
 
@@ -435,7 +431,7 @@ ss AS (SELECT *, ceil({2.0 * _ZSUM * _ZSUM!r} * pre_var / nullif((pre_mean * 0.1
 
 Q["sample_size"] = BASE + _SS + f"""
 SELECT experiment_id, n_users, {R6(CENTS('pre_sum'))} AS pre_sum, {R6(DIV(CENTS('pre_sum'), 'n_users'))} AS pre_mean,
-       {R4('pre_var')} AS pre_var, required_per_group FROM ss"""
+       {R6('sqrt(pre_var)')} AS pre_sd, required_per_group FROM ss"""
 
 Q["sample_progress"] = BASE + _SS + f"""
 , first AS (SELECT x.experiment_id, x."group", x.user_id, min(x.date) AS date
@@ -465,11 +461,11 @@ Q["distinct_listings"] = f"SELECT DISTINCT repeat('0', greatest(0, 8 - length({K
 
 Q["activity_summary"] = BASE + f"""
 SELECT 'user_id' AS column_name, count(user_id)::BIGINT AS count,
-       {R6('sum(user_id::DOUBLE) / count(user_id)')} AS mean, {R4('stddev_samp(user_id::DOUBLE)')} AS stddev,
+       {R6('sum(user_id::DOUBLE) / count(user_id)')} AS mean, {R6('stddev_samp(user_id::DOUBLE)')} AS stddev,
        {R6('min(user_id)::DOUBLE')} AS min, {R6('max(user_id)::DOUBLE')} AS max FROM userlog
 UNION ALL
 SELECT 'purchase_amount', count(purchase_amount)::BIGINT,
-       {R6(DIV(CENTS('sum(purchase_amount)'), 'count(purchase_amount)'))}, {R4('stddev_samp(purchase_amount)')},
+       {R6(DIV(CENTS('sum(purchase_amount)'), 'count(purchase_amount)'))}, {R6('stddev_samp(purchase_amount)')},
        {R6('min(purchase_amount)')}, {R6('max(purchase_amount)')} FROM userlog"""
 
 Q["user_key_unique"] = """

@@ -2,8 +2,9 @@
 
 Each takes (spark, sf_dir) and returns a DataFrame over whole tables. Output
 is presented for cross-engine comparison: days as 'yyyy-MM-dd' strings and
-doubles rounded half up at 1e-6 (``round6``; variances at 1e-4 with ``round4``,
-since exact variances of cent data can fall on a 1e-6 tie); means of money are shown as
+doubles rounded half up at 1e-6 (``round6``); spread is shown as the standard
+deviation (exact variances of cent data often end in a 5 at the rounding digit,
+square roots practically never); means of money are shown as
 whole-cent sums over counts, so summation order cannot move a printed digit.
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from abx.config import FIXTURE_EXPERIMENTS
-from abx.functions.columns import date_label, round4, round6, to_cents
+from abx.functions.columns import date_label, round6, to_cents
 from abx.operators import assign as A
 from abx.operators import audits as AU
 from abx.operators import features as FE
@@ -27,16 +28,11 @@ from abx.sources import fixtures as FX
 FLAGSHIP_EXPERIMENT = "exp_all"
 
 
-VARIANCE_COLUMNS = {"var_control", "var_treatment", "pre_var", "stddev"}
-
-
 def present(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DateType):
             cols.append(date_label(F.col(f.name)).alias(f.name))
-        elif f.name in VARIANCE_COLUMNS:
-            cols.append(round4(F.col(f.name)).alias(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(round6(F.col(f.name)).alias(f.name))
         else:
@@ -76,9 +72,10 @@ def _moments(df: DataFrame, keys) -> DataFrame:
     return present(df.select(
         *keys,
         "n_control", to_cents(F.col("sum_control")).alias("sum_control"),
-        cents_mean("sum_control", "n_control").alias("mean_control"), "var_control",
+        cents_mean("sum_control", "n_control").alias("mean_control"), F.sqrt("var_control").alias("sd_control"),
         "n_treatment", to_cents(F.col("sum_treatment")).alias("sum_treatment"),
-        cents_mean("sum_treatment", "n_treatment").alias("mean_treatment"), "var_treatment"))
+        cents_mean("sum_treatment", "n_treatment").alias("mean_treatment"),
+        F.sqrt("var_treatment").alias("sd_treatment")))
 
 
 def q_group_day_moments(spark, sf_dir):
@@ -140,7 +137,8 @@ def q_overall_ttest(spark, sf_dir):
         "experiment_id", "n_control", "n_treatment", "active_control", "active_treatment",
         cents_mean("sum_control", "n_control").alias("mean_control"),
         cents_mean("sum_treatment", "n_treatment").alias("mean_treatment"),
-        "var_control", "var_treatment", "t_stat", "df", "p_value"))
+        F.sqrt("var_control").alias("sd_control"), F.sqrt("var_treatment").alias("sd_treatment"),
+        "t_stat", "df", "p_value"))
 
 
 def q_active_rate_ztest(spark, sf_dir):
@@ -192,7 +190,7 @@ def q_aa_test(spark, sf_dir):
 def q_sample_size(spark, sf_dir):
     s = analysis(spark, sf_dir).sample_size(mde_rel=0.1)
     return present(s.select("experiment_id", "n_users", to_cents(F.col("pre_sum")).alias("pre_sum"),
-                            cents_mean("pre_sum", "n_users").alias("pre_mean"), "pre_var",
+                            cents_mean("pre_sum", "n_users").alias("pre_mean"), F.sqrt("pre_var").alias("pre_sd"),
                             "required_per_group"))
 
 
