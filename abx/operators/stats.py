@@ -144,22 +144,20 @@ def pooled_z(xc: Column, nc: Column, xt: Column, nt: Column) -> Column:
 def active_rate_ztest(exposed: DataFrame, assignments: DataFrame, experiments: DataFrame) -> DataFrame:
     """Per experiment: share of assigned users active at least once in the
     treatment period, compared by a pooled two-proportion z-test."""
-    e = F.broadcast(experiments.select("experiment_id", "start_date", "end_date"))
-    act = (exposed.join(e, "experiment_id")
-           .filter((F.col("date") >= F.col("start_date")) & (F.col("date") <= F.col("end_date")))
-           .select("experiment_id", "user_id", "group").distinct()
-           .groupBy("experiment_id").agg(
-               F.count_if(F.col("group") == CONTROL).alias("active_control"),
-               F.count_if(F.col("group") == TREATMENT).alias("active_treatment")))
-    n = assignments.groupBy("experiment_id").agg(
-        F.count_if(F.col("group") == CONTROL).alias("n_control"),
-        F.count_if(F.col("group") == TREATMENT).alias("n_treatment"))
-    x = n.join(act, "experiment_id", "left").fillna(0, ["active_control", "active_treatment"])
-    x = x.withColumn("rate_control", F.try_divide(F.col("active_control").cast("double"), F.col("n_control")))
+    return with_ztest(overall_ttest(exposed, assignments, experiments)).select(
+        "experiment_id", "n_control", "n_treatment", "active_control", "active_treatment",
+        "rate_control", "rate_treatment", "z_stat", F.col("z_p_value").alias("p_value"))
+
+
+def with_ztest(overall: DataFrame) -> DataFrame:
+    """Add the active-rate z-test to rows of ``overall_ttest``: users with a
+    treatment-period total are exactly the active users, so both tests come
+    from one per-user aggregation."""
+    x = overall.withColumn("rate_control", F.try_divide(F.col("active_control").cast("double"), F.col("n_control")))
     x = x.withColumn("rate_treatment", F.try_divide(F.col("active_treatment").cast("double"), F.col("n_treatment")))
     x = x.withColumn("z_stat", pooled_z(F.col("active_control"), F.col("n_control"),
                                         F.col("active_treatment"), F.col("n_treatment")))
-    return x.withColumn("p_value", normal_sf2(F.col("z_stat")))
+    return x.withColumn("z_p_value", normal_sf2(F.col("z_stat")))
 
 
 # ---------------------------------------------------------------- design checks

@@ -67,7 +67,7 @@ def _log_scans(p):
 @pytest.mark.parametrize("name", ["user_day_metrics", "daily_ttest", "experiment_results", "group_day_totals",
                                   "overall_ttest", "active_rate", "average_duration", "aa_test",
                                   "user_day_filled", "pre_post_totals", "sample_progress",
-                                  "sample_size", "active_rate_ztest"])
+                                  "sample_size", "active_rate_ztest", "all_test_results"])
 def test_one_log_scan(plans, name):
     assert _log_scans(plans[name]) == 1
 
