@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import quality
+from abx.llm import langid, quality, url_filter
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -14,10 +14,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# The rules that the url query applies.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page url judged by the rules and by its redirect and canonical-link class."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those outside the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    held = langid.held_out(F.col("doc_id"))
+    found = langid.identify(docs.select("doc_id", "text"), docs.where(~held & F.col("doc_id").isNotNull()))
+    return found.select("doc_id", held.alias("held_out"), "langid.lang_pred", "langid.score")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first quality rules over every whole text."""
     return quality.with_quality(table(spark, sf_dir, "documents")).select(*DIGEST6)
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op3_language_id, op6_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
