@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import langid, quality, url_filter
+from abx.llm import langid, quality, toxicity, url_filter
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -37,10 +37,20 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "langid.lang_pred", "langid.score")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels outside the held-out fifth."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs.where(~held), labels.where(~held))
+    score = toxicity.scorer(spark, model)(F.col("text"))
+    return (docs.select("doc_id", held.alias("held_out"), score.alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first quality rules over every whole text."""
     return quality.with_quality(table(spark, sf_dir, "documents")).select(*DIGEST6)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_language_id, op6_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op3_language_id, op5_toxicity, op6_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
