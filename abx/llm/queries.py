@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import langid, quality, toxicity, url_filter
+from abx.llm import langid, packing, quality, token_counts, toxicity, url_filter
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -29,6 +30,15 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def vocabulary() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(packing.pieces_of(table(spark, sf_dir, "documents"), vocabulary(), 2048), 2048)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those outside the held-out third."""
     docs = table(spark, sf_dir, "documents")
@@ -52,5 +62,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(table(spark, sf_dir, "documents")).select(*DIGEST6)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_language_id, op5_toxicity, op6_quality_rules)}
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every whole text."""
+    return token_counts.with_token_counts(table(spark, sf_dir, "documents"), vocabulary(), limit=512)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_best_fit_packing, op3_language_id, op5_toxicity, op6_quality_rules, op9_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
