@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import langid, packing, quality, token_counts, toxicity, url_filter
+from abx.llm import bpe, langid, packing, quality, token_counts, toxicity, url_filter
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -47,6 +47,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "langid.lang_pred", "langid.score")
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's ids and of the text decoded from them."""
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary())
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels outside the held-out fifth."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -68,5 +76,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_best_fit_packing, op3_language_id, op5_toxicity, op6_quality_rules, op9_token_counts)}
+    op1_url_filter, op2_best_fit_packing, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_quality_rules,
+    op9_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
