@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import bpe, langid, packing, quality, token_counts, toxicity, url_filter
+from abx.llm import bpe, langid, packing, quality, simhash, token_counts, toxicity, url_filter
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -70,6 +70,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(table(spark, sf_dir, "documents")).select(*DIGEST6)
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text."""
     return token_counts.with_token_counts(table(spark, sf_dir, "documents"), vocabulary(), limit=512)
@@ -77,5 +83,5 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_best_fit_packing, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_quality_rules,
-    op9_token_counts)}
+    op7_simhash_dedup, op9_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
