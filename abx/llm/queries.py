@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import bpe, langid, packing, quality, simhash, token_counts, toxicity, url_filter
+from abx.llm import bpe, langid, packing, quality, simhash, substring, token_counts, toxicity, url_filter
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -76,6 +76,14 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 50-word windows that an earlier one holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substring.remove_repeats(docs, window=50)
+    kept = F.array_join(quality.words_of(F.col("text")), " ")
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text."""
     return token_counts.with_token_counts(table(spark, sf_dir, "documents"), vocabulary(), limit=512)
@@ -83,5 +91,5 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_best_fit_packing, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_quality_rules,
-    op7_simhash_dedup, op9_token_counts)}
+    op7_simhash_dedup, op8_substring_dedup, op9_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
