@@ -11,12 +11,37 @@ written table in the shared folder.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abx.llm.runtime import written
 
 
+def merge_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``label`` (a group's first place for each place) with the groups of each pair of
+    places merged. For use within a task, on the pairs it has just found."""
+    x, y = label[i], label[j]
+    open_ = x != y
+    if not open_.any():
+        return label
+    parent: dict[int, int] = {}
+
+    def root(k: int) -> int:
+        while parent.get(k, k) != k:
+            k = parent[k]
+        return k
+
+    for p, q in np.unique(np.stack((x[open_], y[open_]), axis=1), axis=0).tolist():
+        p, q = root(p), root(q)
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+    to = np.arange(len(label))
+    for k in parent:
+        to[k] = root(k)
+    return to[label]
+
+
 def _ordered(a: Column, b: Column) -> DataFrame:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 

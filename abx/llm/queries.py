@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import bpe, langid, packing, quality, simhash, substring, token_counts, toxicity, url_filter
+from abx.llm import bpe, embedding, langid, packing, quality, simhash, substring, token_counts, toxicity, url_filter
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -89,7 +89,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_token_counts(table(spark, sf_dir, "documents"), vocabulary(), limit=512)
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95."""
+    return embedding.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_best_fit_packing, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_quality_rules,
-    op7_simhash_dedup, op8_substring_dedup, op9_token_counts)}
+    op7_simhash_dedup, op8_substring_dedup, op9_token_counts, op10_embedding_dedup)}
 ORACLE_SQL: dict[str, str] = {}

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abx.llm.components import connected_components
+from abx.llm.components import connected_components, merge_labels
 from abx.llm.runtime import texts_of, written
 
 SEED = 42
@@ -126,25 +126,7 @@ def forest(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
         stop = int(np.searchsorted(d, d[min(n, a + ROWS) - 1] + distance, side="right"))
         for b in range(a, stop, COLUMNS):
             i, j = np.nonzero(np.bitwise_count(rows ^ fps[None, b:min(stop, b + COLUMNS)]) <= distance)
-            x, y = label[a + i], label[b + j]
-            open_ = x != y
-            if not open_.any():
-                continue
-            parent: dict[int, int] = {}
-
-            def root(k: int) -> int:
-                while parent.get(k, k) != k:
-                    k = parent[k]
-                return k
-
-            for p, q in {(int(p), int(q)) for p, q in zip(x[open_], y[open_])}:
-                p, q = root(p), root(q)
-                if p != q:
-                    parent[max(p, q)] = min(p, q)
-            to = np.arange(n)
-            for k in parent:
-                to[k] = root(k)
-            label = to[label]
+            label = merge_labels(label, a + i, b + j)
     moved = np.flatnonzero(label != np.arange(n))
     return fps[moved], fps[label[moved]]
 
