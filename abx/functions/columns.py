@@ -32,16 +32,17 @@ def hash_unit(*parts) -> Column:
 
 
 def round6(x) -> Column:
-    """Round half up at 1e-6 as floor(x * 1e6 + 0.5) / 1e6.
+    """Round at 1e-6, halves to the even digit: rint(x * 1e6) / 1e6.
 
-    Plain IEEE steps, so every engine gets the same double from the same input.
+    Doubles throughout, so large values keep theirs, NaN stays NaN, infinities
+    stay infinite and null stays null; plain IEEE steps, the same in every engine.
     """
-    return F.floor(_c(x) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    return F.rint(_c(x).cast("double") * F.lit(1e6)) / F.lit(1e6)
 
 
 def to_cents(x) -> Column:
     """Money sums back to whole cents (drops summation-order noise)."""
-    return F.floor(_c(x) * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
+    return F.rint(_c(x).cast("double") * F.lit(100.0)) / F.lit(100.0)
 
 
 def date_label(x) -> Column:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from abx.functions import columns as C
-from abx.functions.tails import betainc_reg, chi2_1df_sf_np, normal_sf2_np, student_sf2_np
+from abx.functions.tails import chi2_1df_sf_np, normal_sf2_np, student_sf2_np
 
 
 def test_pad_id_edges(spark):
@@ -22,10 +22,14 @@ def test_hash_unit_matches_md5(spark):
     assert got == want
 
 
-def test_round6_half_up(spark):
-    df = spark.createDataFrame([(0.0000005,), (-1.2345674,), (2.0,)], "x double")
-    got = [r[0] for r in df.select(C.round6("x")).collect()]
-    assert got == [math.floor(0.0000005 * 1e6 + 0.5) / 1e6, math.floor(-1.2345674 * 1e6 + 0.5) / 1e6, 2.0]
+def test_round6_keeps_size_and_nan(spark):
+    rows = [0.0078125, -1.2345674, 2.0, 1.5e13, -2e13, 1.2e300, math.inf, -math.inf, math.nan, None]
+    df = spark.createDataFrame([(x,) for x in rows], "x double")
+    got = [tuple(r) for r in df.select(C.round6("x"), C.to_cents("x")).collect()]
+    assert [g[0] for g in got[:5]] == [0.007812, -1.234567, 2.0, 1.5e13, -2e13]
+    assert [g[1] for g in got[:5]] == [0.01, -1.23, 2.0, 1.5e13, -2e13]
+    assert got[5][0] == pytest.approx(1.2e300) and got[6] == (math.inf,) * 2 and got[7] == (-math.inf,) * 2
+    assert all(math.isnan(v) for v in got[8]) and got[9] == (None, None)
 
 
 def test_clean_feature_name():
@@ -41,17 +45,23 @@ def test_known_tail_values():
     assert student_sf2_np([3.0], [1])[0] == pytest.approx(1 - 2 * math.atan(3.0) / math.pi, rel=1e-12)
 
 
-def test_betainc_against_quadrature():
-    rng = np.random.default_rng(0)
-    for _ in range(20):
-        a, b, x = rng.uniform(0.5, 30), rng.uniform(0.5, 30), rng.uniform(0.01, 0.99)
-        grid = np.linspace(0, x, 200001)
-        f = grid ** (a - 1) * (1 - grid) ** (b - 1)
-        f[0] = 0 if a > 1 else f[1]
-        num = np.trapezoid(f, grid)
-        full = math.exp(math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b))
-        if a >= 1:
-            assert betainc_reg(a, b, x)[()] == pytest.approx(num / full, abs=1e-5)
+@pytest.mark.parametrize("df", [1, 2, 3, 7.5, 30, 400])
+def test_student_against_fine_quadrature(df):
+    for t in (0.0, 1e-9, 0.01, 0.5, 1.9999, 2.0, 2.0001, 4.0, 12.0):
+        theta = np.linspace(0, math.atan(t / math.sqrt(df)), 400001)
+        body = np.trapezoid(np.cos(theta) ** (df - 1), theta)
+        want = 1 - 2 * body * math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(math.pi)
+        assert student_sf2_np([t], [df])[0] == pytest.approx(want, abs=2e-11)
+
+
+@pytest.mark.parametrize("df", [1e10, 1e12, 1e15])
+def test_student_tends_to_normal(df):
+    for t in (0.0, 0.3, 0.5, 1.96, 2.5, 6.0, 20.0):
+        assert student_sf2_np([t], [df])[0] == pytest.approx(normal_sf2_np([t])[0], rel=1e-8, abs=1e-9)
+
+
+def test_student_of_nothing_is_nan():
+    assert np.isnan(student_sf2_np([math.nan, 1.0, math.inf], [5.0, 0.0, 5.0])).all()
 
 
 def test_tail_udfs_null_safe(spark):
