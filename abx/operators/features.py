@@ -9,40 +9,32 @@ from pyspark.sql import functions as F
 
 from abx.functions.columns import clean_feature_name
 
-MAX_LEVELS = 1000
-
+def levels(df: DataFrame, col: str) -> list[str]:
+    """Sorted distinct non-null values of ``col``, for a table in which they are few by
+    nature (a dimension): each becomes a column of the plan. Open domains take
+    ``one_hot_long``, which brings nothing to the driver."""
+    vals = df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct().collect()
+    return sorted(r["v"] for r in vals)
 
-def levels(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list[str]:
-    """Sorted distinct non-null values of ``col``; raises past ``max_levels``.
 
-    The distinct runs on the cluster; at most max_levels + 1 values reach the
-    driver, and exceeding the bound is an error, never a silent cut.
-    """
-    vals = (df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull())
-            .distinct().limit(max_levels + 1).collect())
-    if len(vals) > max_levels:
-        raise ValueError(f"{col!r} has more than {max_levels} levels; use a sparse encoder instead")
-    return sorted(r["v"] for r in vals)
+def drop_if_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` without those of ``columns`` that it has."""
+    return df.drop(*[c for c in columns if c in df.columns])
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS,
-            level_map: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """Replace each categorical column by one 0/1 double column per level
-    (no level dropped; null gives all zeros), named '<column>_<level>' with
+def one_hot(df: DataFrame, level_map: dict[str, Sequence[str]]) -> DataFrame:
+    """Replace each column of ``level_map`` by one 0/1 double column per level given (no
+    level dropped; null and other values give all zeros), named '<column>_<level>' with
     spaces removed, '(' -> '-' and ')' removed. Name clashes raise.
 
-    ``level_map`` fixes the levels (and so the schema) up front, e.g. for a
-    stream or to score new data with a trained layout.
+    The levels are a parameter, so the schema does not depend on the rows: batch,
+    stream and later data get the same columns.
     """
-    level_map = dict(level_map or {})
-    keep = [c for c in df.columns if c not in columns]
+    keep = [c for c in df.columns if c not in level_map]
     out = [F.col(c) for c in keep]
     names = set(keep)
-    for c in columns:
-        lv = level_map.get(c)
-        if lv is None:
-            lv = levels(df, c, max_levels)
-        for v in lv:
+    for c, values in level_map.items():
+        for v in values:
             n = clean_feature_name(f"{c}_{v}")
             if n in names:
                 raise ValueError(f"feature name clash: {n!r}")
@@ -51,6 +43,18 @@ def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS,
     return df.select(*out)
 
 
+def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """One-hot features in long form: (key, feature, value 1.0) for each non-null value of
+    ``columns``. Features are named as in ``one_hot``; any number of levels."""
+    def name(c: str):
+        v = F.concat(F.lit(f"{c}_"), F.col(c).cast("string"))
+        return F.translate(F.replace(F.replace(v, F.lit(" "), F.lit("")), F.lit("("), F.lit("-")), ")", "")
+
+    parts = F.array(*[F.struct(name(c).alias("feature"), F.lit(1.0).alias("value")) for c in columns])
+    return (df.select(F.col(key), F.explode(parts).alias("f")).select(key, "f.feature", "f.value")
+            .where(F.col("feature").isNotNull()))
+
+
 def write_feature_table(df: DataFrame, key: str, path: str, mode: str = "overwrite") -> None:
     """Write a keyed feature table after checking the key is unique and non-null."""
     from abx.operators.audits import assert_unique_key
@@ -62,7 +66,9 @@ def one_hot_sparse(df: DataFrame, columns: Sequence[str], output: str = "feature
                    numeric: Sequence[str] = ()):
     """Sparse one-hot for model input when levels are many: StringIndexer +
     OneHotEncoder(dropLast=False) per column, assembled with ``numeric`` into
-    one vector column. Levels are learned on the cluster (no cap needed).
+    one vector column. Levels are learned on the cluster, but the fitted indexer holds
+    all of them on the driver: for columns whose levels fit there. Others take
+    ``one_hot_long``.
     Returns (fitted pipeline model, transformed frame)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler

@@ -1,7 +1,7 @@
 """Model table, elastic-net regression, fit quality and scoring by group.
 
-Fitting uses Spark ML (distributed gradient steps, no collect of the
-training set). Scoring a linear model is one native dot product over the
+Fitting uses Spark ML (with up to 4,096 features its solver
+forms the normal equations in one distributed pass; the training set is not collected). Scoring a linear model is one native dot product over the
 feature columns with the (small, fixed-size) coefficients inlined, so it
 runs in whole-stage codegen, in batch or on a stream.
 """
@@ -16,7 +16,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abx.operators.features import one_hot
+from abx.operators.features import levels, one_hot
 
 EVENT_TYPES = ("view", "click", "purchase", "signup", "error")
 
@@ -24,13 +24,14 @@ EVENT_TYPES = ("view", "click", "purchase", "signup", "error")
 def model_table(events: DataFrame, users: DataFrame, event_types: Sequence[str] = EVENT_TYPES,
                 segment_levels: Sequence[str] | None = None) -> DataFrame:
     """Key (user_id, date); label = sum of event values; features = events per
-    type and a one-hot of the user's segment."""
+    type and a one-hot of the user's segment. Levels not given are read from ``users``,
+    the dimension table, never from the events."""
     day = events.groupBy("user_id", F.to_date("ts").alias("date")).agg(
         F.sum("value").alias("label"),
         *[F.count_if(F.col("event_type") == t).cast("double").alias(f"n_{t}") for t in event_types])
     x = day.join(users.select("user_id", "segment"), "user_id", "left")
-    lm = {"segment": list(segment_levels)} if segment_levels is not None else None
-    return one_hot(x, ["segment"], level_map=lm)
+    found = list(segment_levels) if segment_levels is not None else levels(users, "segment")
+    return one_hot(x, {"segment": found})
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = ("user_id", "date", "label", "group",
