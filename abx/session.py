@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -53,9 +54,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    When the session names none, a folder under the session's warehouse
-    location (shared storage on a cluster) is set; tests set their own
-    scratch folder before this is reached.
+    A local session that names none (tests) gets a temporary folder; on a cluster
+    it is an error, since no folder of one machine would do.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,13 +63,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        configured = f"{warehouse}/_abx_checkpoints"
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        configured = tempfile.mkdtemp(prefix="abx-checkpoints-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for written intermediate tables, under the checkpoint folder."""
+    """A path for a written intermediate table under the checkpoint folder, removed when the driver ends."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/abx-{name}-{os.getpid()}-{os.urandom(4).hex()}"
+    path = f"{base}/abx-{name}-{os.getpid()}-{os.urandom(4).hex()}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
