@@ -34,7 +34,8 @@ def eligible(users: DataFrame, experiments: Sequence[Experiment], user_col: str
                         F.lit(float(e.ratio)).alias("experiment_ratio")))
         for e in experiments
     ]
-    x = users.select(F.col(user_col).alias("user_id"), *keep, F.explode(F.array(*options)).alias("_e"))
+    # A null id is no user: hashed, all such rows would fall into one group.
+    x = users.where(F.col(user_col).isNotNull()).select(F.col(user_col).alias("user_id"), *keep, F.explode(F.array(*options)).alias("_e"))
     return x.filter(F.col("_e").isNotNull()).select(
         "user_id", *keep, F.col("_e.experiment_id").alias("experiment_id"),
         F.col("_e.experiment_ratio").alias("experiment_ratio"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abx.operators.metrics import group_counts
-from abx.operators.sessions import user_day_duration
+from abx.operators.windows import complete_days
 
 PERIODS = ("day", "week", "month")
 
@@ -23,29 +23,37 @@ def _explode_periods(df: DataFrame, periods: Sequence[str]) -> DataFrame:
         *[c for c in df.columns], "_p.period", "_p.period_start")
 
 
-def active_rate(exposed: DataFrame, assignments: DataFrame, periods: Sequence[str] = PERIODS) -> DataFrame:
+def _complete(rows: DataFrame, assignments: DataFrame, calendar: DataFrame, periods: Sequence[str],
+              zero: Sequence[str]) -> DataFrame:
+    """A row for each period that holds a day of ``calendar``, with the group's assigned users."""
+    spans = _explode_periods(calendar, periods).select("experiment_id", "group", "period", "period_start").distinct()
+    n = F.broadcast(group_counts(assignments).withColumnRenamed("count", "total_users"))
+    return complete_days(rows, spans, zero).join(n, ["experiment_id", "group"])
+
+
+def active_rate(exposed: DataFrame, assignments: DataFrame, calendar: DataFrame,
+                periods: Sequence[str] = PERIODS) -> DataFrame:
     """Active users (at least one event in the period) over assigned users, per
-    (experiment_id, group, period, period_start)."""
+    (experiment_id, group, period, period_start); 0 in periods without activity.
+    ``calendar`` lists the experiments' days (``windows.group_calendar``)."""
     x = _explode_periods(exposed.select("experiment_id", "group", "user_id", "date"), periods)
     act = x.groupBy("experiment_id", "group", "period", "period_start").agg(
         F.count_distinct("user_id").alias("active_users"))
-    n = F.broadcast(group_counts(assignments).withColumnRenamed("count", "total_users"))
-    out = act.join(n, ["experiment_id", "group"])
+    out = _complete(act, assignments, calendar, periods, ["active_users"])
     return out.withColumn("active_rate", F.col("active_users") / F.col("total_users"))
 
 
-def average_duration(log: DataFrame, assignments: DataFrame, periods: Sequence[str] = PERIODS,
-                     gap_seconds: int = 1800) -> DataFrame:
+def average_duration(days: DataFrame, assignments: DataFrame, calendar: DataFrame,
+                     periods: Sequence[str] = PERIODS) -> DataFrame:
     """Engaged seconds per assigned user, per (experiment_id, group, period,
-    period_start). A session counts in the period where it starts."""
-    ud = user_day_duration(log, gap_seconds)
-    x = ud.join(assignments.select("user_id", "experiment_id", "group"), "user_id")
-    x = _explode_periods(x, periods)
+    period_start); 0 in periods without sessions. ``days`` holds sessions and
+    duration_us per (experiment_id, group, user_id, date); a session counts in the
+    period where it starts."""
+    x = _explode_periods(days, periods)
     agg = x.groupBy("experiment_id", "group", "period", "period_start").agg(
         F.sum("sessions").alias("sessions"),
         F.sum("duration_us").alias("total_duration_us"),
         F.count_distinct("user_id").alias("active_users"))
-    n = F.broadcast(group_counts(assignments).withColumnRenamed("count", "total_users"))
-    out = agg.join(n, ["experiment_id", "group"])
+    out = _complete(agg, assignments, calendar, periods, ["sessions", "total_duration_us", "active_users"])
     out = out.withColumn("total_duration_sec", F.col("total_duration_us") / F.lit(1e6))
     return out.withColumn("avg_duration_sec", F.col("total_duration_us") / F.col("total_users") / F.lit(1e6))

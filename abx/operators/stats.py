@@ -14,9 +14,10 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abx.functions.columns import TWO_POW_32, hash_unit
+from abx.functions.columns import TWO_POW_32
 from abx.functions.tails import chi2_1df_sf, normal_sf2, student_sf2
 from abx.operators.metrics import CONTROL, TREATMENT, conditional_moments, merge_zeros
+from abx.operators.windows import complete_days, group_calendar
 
 
 # ---------------------------------------------------------------- sample ratio
@@ -162,37 +163,31 @@ def with_ztest(overall: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- design checks
 
-def aa_test(per_user: DataFrame, assignments: DataFrame, salts: int = 100,
-            alpha: float = 0.05) -> DataFrame:
-    """A/A check: re-split each experiment's users ``salts`` times by a salted
-    hash (50/50, groups ignored), t-test each split (zeros merged for users
-    without a value), and report how often p < alpha. Near alpha is healthy.
+def aa_test(user_days: DataFrame, assignments: DataFrame, experiments: DataFrame, salts: int = 100,
+            metric: str = "total_purchase_amount") -> DataFrame:
+    """A/A check: re-split each experiment's users ``salts`` times by a salted hash at the
+    experiment's own ratio (groups ignored) and t-test each split over all assigned
+    users; users without a value in the treatment period count as 0.
 
-    Every user row fans out ``salts`` times in place and is folded straight
-    into per-(experiment, salt, side) moments by partial aggregation.
+    Assignments are joined with the user-days once, folded to one value per user and
+    experiment, and fan out in place. One md5 has the bits of four splits.
     """
-    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-
-    def split(df: DataFrame) -> DataFrame:
-        side = F.when(hash_unit(F.col("experiment_id"), F.lit("aa"), F.col("salt"), F.col("user_id"))
-                      < F.lit(0.5 * TWO_POW_32), F.lit(TREATMENT)).otherwise(F.lit(CONTROL))
-        return df.select("*", salt).withColumn("group", side)
-
-    # Users with a value (a subset of the assigned users) give the moments;
-    # all assigned users give the side sizes. Both fold into per-(experiment,
-    # salt) rows before they meet, so no user-level join is needed.
-    m = conditional_moments(split(per_user.select("experiment_id", "user_id", "value")),
-                            ["experiment_id", "salt"], "value")
-    n = split(assignments.select("experiment_id", "user_id")).groupBy("experiment_id", "salt").agg(
-        F.count_if(F.col("group") == CONTROL).alias("users_control"),
-        F.count_if(F.col("group") == TREATMENT).alias("users_treatment"))
-    y = n.join(m, ["experiment_id", "salt"], "left")
-    mc, vc = merge_zeros(F.col("n_control"), F.col("sum_control"), F.col("var_control"), F.col("users_control"))
-    mt, vt = merge_zeros(F.col("n_treatment"), F.col("sum_treatment"), F.col("var_treatment"), F.col("users_treatment"))
-    y = y.select("experiment_id", "salt", F.col("users_control").alias("n_control"), mc.alias("mean_control"),
-                 vc.alias("var_control"), F.col("users_treatment").alias("n_treatment"),
-                 mt.alias("mean_treatment"), vt.alias("var_treatment"))
-    return with_ttest(y)
+    e = F.broadcast(experiments.select("experiment_id", "start_date", "end_date"))
+    days = assignments.select("user_id", "experiment_id", "experiment_ratio").join(e, "experiment_id").join(
+        user_days.select("user_id", "date", metric), "user_id", "left")
+    inside = F.col("date").between(F.col("start_date"), F.col("end_date"))
+    per_user = days.groupBy("user_id", "experiment_id", "experiment_ratio").agg(
+        F.coalesce(F.sum(F.when(inside, F.col(metric))), F.lit(0.0)).alias("value"))
+    blocks = per_user.select("*", F.explode(F.sequence(F.lit(0), F.lit((salts - 1) // 4))).alias("_block"))
+    digest = F.md5(F.concat_ws("|", "experiment_id", F.lit("aa"), "_block", "user_id"))
+    fourth = F.posexplode(F.array(*[F.conv(F.substring(F.col("_md5"), 1 + 8 * k, 8), 16, 10).cast("bigint")
+                                    for k in range(4)])).alias("_k", "_unit")
+    drawn = (blocks.select("experiment_id", "experiment_ratio", "value", "_block", digest.alias("_md5"))
+             .select("experiment_id", "experiment_ratio", "value", "_block", fourth)
+             .withColumn("salt", F.col("_block") * 4 + F.col("_k")).where(F.col("salt") < salts)
+             .withColumn("group", F.when(F.col("_unit") < F.col("experiment_ratio") * F.lit(TWO_POW_32), F.lit(TREATMENT))
+                         .otherwise(F.lit(CONTROL))))
+    return with_ttest(conditional_moments(drawn, ["experiment_id", "salt"], "value"))
 
 
 def aa_summary(aa: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -231,7 +226,7 @@ def sample_size(pre_user: DataFrame, assignments: DataFrame, mde_rel: float = 0.
 def sample_progress(exposed: DataFrame, experiments: DataFrame, assignments: DataFrame,
                     mde_rel: float = 0.1, alpha: float = 0.05, power: float = 0.8) -> DataFrame:
     """Per (experiment_id, group, date) in the treatment period: users seen so far
-    (first active day counted once) against the minimum size per group from
+    (first active day counted once; every day has a row) against the minimum size per group from
     ``sample_size``; ``reached`` flags the days from which the test may be read.
 
     One pass over the log: a per-user aggregation gives both the pre-period
@@ -265,8 +260,14 @@ def sample_progress(exposed: DataFrame, experiments: DataFrame, assignments: Dat
     delta = mean * F.lit(float(mde_rel))
     need = F.ceil(F.try_divide(F.lit(2.0 * zsum * zsum) * var, delta * delta))
     cells = cells.withColumn("required_per_group", need)
-    daily = cells.filter(F.col("first_day").isNotNull()).select(
-        "experiment_id", "group", F.col("first_day").alias("date"), "new_users", "required_per_group")
+    # Users without a day in the period carry the requirement, and count 0, on the last day:
+    # the calendar meets one frame, so the log is read once. Days x 2 rows per experiment.
+    news = cells.join(F.broadcast(experiments.select("experiment_id", "end_date")), "experiment_id").groupBy(
+        "experiment_id", "group", F.coalesce("first_day", "end_date").alias("date")).agg(
+        F.sum(F.when(F.col("first_day").isNotNull(), F.col("new_users")).otherwise(0)).alias("new_users"),
+        F.max("required_per_group").alias("required_per_group"))
+    daily = complete_days(news, group_calendar(experiments, pre=False), ["new_users"]).withColumn(
+        "required_per_group", F.max("required_per_group").over(whole))
     w = Window.partitionBy("experiment_id", "group").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     daily = daily.withColumn("users_so_far", F.sum("new_users").over(w))
     daily = daily.withColumn("reached", F.coalesce(F.col("users_so_far") >= F.col("required_per_group"), F.lit(False)))
@@ -277,28 +278,28 @@ def experiment_overlap(assignments: DataFrame, experiment_ids: Sequence[str]) ->
     """Interference check between experiments: for each pair (a < b), the 2x2
     table of groups among users in both, and a chi-square test of independence.
 
-    One row per user (its group in each listed experiment, by a grouped
-    pivot), then one global aggregation of conditional counts per pair.
-    No pairs of users are formed.
+    One row per user with its experiments, whose pairs (bounded by the parameter
+    list) are counted per pair of experiments. No pairs of users are formed.
     """
     ids = sorted(set(experiment_ids))
     if len(ids) < 2:
         raise ValueError("need at least two experiments")
-    wide = assignments.groupBy("user_id").pivot("experiment_id", ids).agg(F.first("group"))
-    pairs = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:]]
-    aggs = []
-    for k, (a, b) in enumerate(pairs):
-        for ga in (CONTROL, TREATMENT):
-            for gb in (CONTROL, TREATMENT):
-                aggs.append(F.count_if((F.col(f"`{a}`") == ga) & (F.col(f"`{b}`") == gb))
-                            .alias(f"p{k}_{ga[0]}{gb[0]}"))
-    tot = wide.agg(*aggs)
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("experiment_a"), F.lit(b).alias("experiment_b"),
-                 F.col(f"p{k}_cc").alias("n_cc"), F.col(f"p{k}_ct").alias("n_ct"),
-                 F.col(f"p{k}_tc").alias("n_tc"), F.col(f"p{k}_tt").alias("n_tt"))
-        for k, (a, b) in enumerate(pairs)])
-    x = tot.select(F.explode(rows).alias("r")).select("r.*")
+    spark = assignments.sparkSession
+    # Each user's experiments in one array (as long as the parameter list at most), then
+    # its ordered pairs in place: the plan does not grow with the experiments.
+    mine = (assignments.where(F.col("experiment_id").isin(ids)).groupBy("user_id")
+            .agg(F.collect_set(F.struct("experiment_id", "group")).alias("_e")))
+    pairs = mine.select(F.explode("_e").alias("x"), "_e").select("x", F.explode("_e").alias("y")).where(
+        F.col("x.experiment_id") < F.col("y.experiment_id"))
+    gx, gy = F.col("x.group"), F.col("y.group")
+    seen = pairs.groupBy(F.col("x.experiment_id").alias("experiment_a"), F.col("y.experiment_id").alias("experiment_b")).agg(
+        F.count_if((gx == CONTROL) & (gy == CONTROL)).alias("n_cc"),
+        F.count_if((gx == CONTROL) & (gy == TREATMENT)).alias("n_ct"),
+        F.count_if((gx == TREATMENT) & (gy == CONTROL)).alias("n_tc"),
+        F.count_if((gx == TREATMENT) & (gy == TREATMENT)).alias("n_tt"))
+    every = spark.createDataFrame([(a, b) for i, a in enumerate(ids) for b in ids[i + 1:]],
+                                  "experiment_a string, experiment_b string")
+    x = complete_days(seen, every, ["n_cc", "n_ct", "n_tc", "n_tt"])
     a_, b_, c_, d_ = (F.col(n).cast("double") for n in ("n_cc", "n_ct", "n_tc", "n_tt"))
     n = a_ + b_ + c_ + d_
     chi2 = F.try_divide(n * (a_ * d_ - b_ * c_) * (a_ * d_ - b_ * c_),

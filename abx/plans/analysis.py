@@ -8,6 +8,7 @@ job writing many results survives lost executors without re-reading the log.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -20,10 +21,15 @@ from abx.operators import metrics as M
 from abx.operators import rates as R
 from abx.operators import stats as S
 from abx.operators import windows as W
+from abx.operators.sessions import user_day_duration
 from abx.session import scratch_path
 from abx.sources.tables import experiments_frame
 
 
+# The labels of the long result layout.
+STAT_LABEL, P_LABEL = "Stats", "P_value"
+
+
 class ExperimentAnalysis:
     def __init__(self, spark: SparkSession, log: DataFrame, users: DataFrame,
                  experiments: Sequence[Experiment], activities: Sequence[str] = DEFAULT_ACTIVITIES,
@@ -31,6 +37,14 @@ class ExperimentAnalysis:
         if assignment not in ("hash", "quota"):
             raise ValueError("assignment must be 'hash' or 'quota'")
         self.spark = spark
+        # One period for all results: from the first pre-period day to the last treatment
+        # day. The outer bounds are literals, so they prune the scan of the log; each
+        # experiment's own bounds apply after the join with its users.
+        lo = min((e.start_date - dt.timedelta(days=e.pre_days) for e in experiments), default=None)
+        hi = max((e.end_date + dt.timedelta(days=1) for e in experiments), default=None)
+        if lo is not None:
+            kind = log.schema["event_time"].dataType
+            log = log.where((F.col("event_time") >= F.lit(lo).cast(kind)) & (F.col("event_time") < F.lit(hi).cast(kind)))
         self.log = log
         self.users = users
         self.experiments = tuple(experiments)
@@ -56,13 +70,27 @@ class ExperimentAnalysis:
     @property
     def exposed(self) -> DataFrame:
         if self._exposed is None:
-            self._exposed = M.exposed_user_days(self.user_days, self.assignments)
+            self._exposed = self.in_period(M.exposed_user_days(self.user_days, self.assignments))
         return self._exposed
 
+    def in_period(self, rows: DataFrame) -> DataFrame:
+        """Rows (experiment_id, date) that lie in their experiment's pre-period or treatment period."""
+        e = F.broadcast(self.experiments_df.select(
+            "experiment_id", F.date_sub("start_date", F.col("pre_days")).alias("_from"), F.col("end_date").alias("_to")))
+        return (rows.join(e, "experiment_id").where(F.col("date").between(F.col("_from"), F.col("_to")))
+                .select(*rows.columns))
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return W.group_calendar(self.experiments_df)
+
     def materialize(self) -> "ExperimentAnalysis":
         """Write exposed user-days to the checkpoint folder and read them back."""
         path = scratch_path(self.spark, "exposed")
-        self.exposed.write.mode("overwrite").partitionBy("experiment_id").parquet(path)
+        # Rebalanced by experiment: large experiments get many tasks, and no task writes a
+        # file for each experiment.
+        (self.exposed.hint("rebalance", "experiment_id").write.mode("overwrite")
+         .partitionBy("experiment_id").parquet(path))
         self._exposed = self.spark.read.parquet(path)
         return self
 
@@ -74,7 +102,7 @@ class ExperimentAnalysis:
         return S.ratio_test(self.assignments)
 
     def group_day_totals(self) -> DataFrame:
-        return M.group_day_totals(self.exposed)
+        return W.complete_days(M.group_day_totals(self.exposed), self.calendar, ["total_amount", "user_days"])
 
     def group_day_moments(self, nonzero: bool = True) -> DataFrame:
         return M.group_day_moments(self.exposed, nonzero=nonzero)
@@ -90,9 +118,10 @@ class ExperimentAnalysis:
         totals over all user-days and the moments of the non-zero ones."""
         m = F.col(metric)
         nz = m != 0
-        return self.exposed.groupBy("date", "group", "experiment_id").agg(
+        rows = self.exposed.groupBy("date", "group", "experiment_id").agg(
             F.sum(m).alias("total_amount"), F.count(F.lit(1)).alias("user_days"),
             F.count_if(nz).alias("_n"), F.sum(F.when(nz, m)).alias("_s"), F.var_samp(F.when(nz, m)).alias("_v"))
+        return W.complete_days(rows, self.calendar, ["total_amount", "user_days", "_n"])
 
     def experiment_results(self) -> DataFrame:
         """Long layout: one row per (date, group, experiment) with totals,
@@ -116,7 +145,7 @@ class ExperimentAnalysis:
         x = S.daily_ttest(x)
         x = W.experiment_day(W.cumulative_by_group(x), self.experiments_df)
         is_c, is_t = F.col("group") == A.CONTROL, F.col("group") == A.TREATMENT
-        x = x.withColumn("ab_description", F.when(is_c, F.lit("Stats")).when(is_t, F.lit("P_value")))
+        x = x.withColumn("ab_description", F.when(is_c, F.lit(STAT_LABEL)).when(is_t, F.lit(P_LABEL)))
         x = x.withColumn("ab_value", F.when(is_c, F.col("t_stat")).when(is_t, F.col("p_value")))
         return x.select("date", "group", "experiment_id", "total_amount", "daily_cumulative_sum",
                         "experiment_duration", "experiment_day", "ab_description", "ab_value")
@@ -128,17 +157,26 @@ class ExperimentAnalysis:
         return S.active_rate_ztest(self.exposed, self.assignments, self.experiments_df)
 
     def active_rate(self, periods=R.PERIODS) -> DataFrame:
-        return R.active_rate(self.exposed, self.assignments, periods)
+        return R.active_rate(self.exposed, self.assignments, self.calendar, periods)
 
     def average_duration(self, periods=R.PERIODS, gap_seconds: int = 1800) -> DataFrame:
-        return R.average_duration(self.log, self.assignments, periods, gap_seconds)
+        return R.average_duration(self.duration_days(gap_seconds), self.assignments, self.calendar, periods)
+
+    def duration_days(self, gap_seconds: int = 1800) -> DataFrame:
+        """Sessions and engaged microseconds per (experiment, group, user, date of session start)."""
+        days = user_day_duration(self.log, gap_seconds)
+        return self.in_period(days.join(self.assignments.select("user_id", "experiment_id", "group"), "user_id"))
+
+    def duration_ttest(self, gap_seconds: int = 1800) -> DataFrame:
+        """The overall t-test on engaged seconds per assigned user in the treatment period."""
+        days = self.duration_days(gap_seconds).withColumn("seconds", F.col("duration_us") / F.lit(1e6))
+        return S.overall_ttest(days, self.assignments, self.experiments_df, metric="seconds")
 
     def user_day_filled(self) -> DataFrame:
         return M.user_day_filled(self.user_days, self.assignments, self.experiments_df)
 
     def aa_test(self, salts: int = 100) -> DataFrame:
-        per_user = S.user_totals(self.exposed, self.experiments_df, phase="post")
-        return S.aa_test(per_user, self.assignments, salts)
+        return S.aa_test(self.user_days, self.assignments, self.experiments_df, salts)
 
     def sample_size(self, mde_rel: float = 0.1, alpha: float = 0.05, power: float = 0.8) -> DataFrame:
         pre = S.user_totals(self.exposed, self.experiments_df, phase="pre")

@@ -9,18 +9,19 @@ but neither erf nor an incomplete beta.
 from __future__ import annotations
 
 from abx.config import DEFAULT_ACTIVITIES, FIXTURE_EXPERIMENTS
+from abx.functions.columns import clean_feature_name
 from abx.operators.stats import z_quantile
-from abx.plans.queries import FLAGSHIP_EXPERIMENT
+from abx.plans.queries import FLAGSHIP_EXPERIMENT, LISTING_LEVELS
 
 STEPS = 2000
 
 
 def R6(x: str) -> str:
-    return f"(floor(({x}) * 1e6 + 0.5) / 1e6)"
+    return f"(round_even(({x})::DOUBLE * 1e6, 0) / 1e6)"
 
 
 def CENTS(x: str) -> str:
-    return f"(floor(({x}) * 100.0 + 0.5) / 100.0)"
+    return f"(round_even(({x})::DOUBLE * 100.0, 0) / 100.0)"
 
 
 def D(x: str) -> str:
@@ -94,12 +95,19 @@ user_days AS (
   count(*)::BIGINT AS total_events,
   sum(CASE WHEN activity = 'purchase' THEN coalesce(purchase_amount, 0.0) ELSE 0.0 END) AS total_purchase_amount
   FROM userlog GROUP BY ALL),
+cal AS (
+  SELECT experiment_id, g."group", unnest(generate_series(start_date - pre_days, end_date, INTERVAL 1 DAY))::DATE AS date
+  FROM experiments, (VALUES ('control'), ('treatment')) g("group")),
 exposed AS (
-  SELECT d.*, a.experiment_id, a."group" FROM user_days d JOIN assignments a USING (user_id)),
+  SELECT d.*, a.experiment_id, a."group" FROM user_days d JOIN assignments a USING (user_id)
+  JOIN experiments e ON e.experiment_id = a.experiment_id AND d.date BETWEEN e.start_date - e.pre_days AND e.end_date),
 post_user AS (
   SELECT x.experiment_id, x.user_id, x."group", sum(x.total_purchase_amount) AS value
   FROM exposed x JOIN experiments e USING (experiment_id)
   WHERE x.date BETWEEN e.start_date AND e.end_date GROUP BY ALL),
+post_all AS (
+  SELECT a.experiment_id, a.user_id, a."group", coalesce(p.value, 0.0) AS value, p.value IS NOT NULL AS active
+  FROM assignments a LEFT JOIN post_user p ON p.experiment_id = a.experiment_id AND p.user_id = a.user_id),
 pre_user AS (
   SELECT x.experiment_id, x.user_id, x."group", sum(x.total_purchase_amount) AS value
   FROM exposed x JOIN experiments e USING (experiment_id)
@@ -129,29 +137,6 @@ def _pooled_t() -> str:
     return f"{t} AS t_stat, {df} AS df"
 
 
-def _merged_t() -> str:
-    """Pooled t on moments already merged with zeros (mean_*, var_* columns)."""
-    ok = "n_control >= 2 AND n_treatment >= 2"
-    sp2 = "(((n_control - 1) * var_control + (n_treatment - 1) * var_treatment) / nullif(n_control + n_treatment - 2, 0))"
-    se = f"sqrt({sp2} * (1.0 / n_control + 1.0 / n_treatment))"
-    t = f"CASE WHEN {ok} THEN (mean_control - mean_treatment) / nullif({se}, 0) END"
-    df = f"CASE WHEN {ok} THEN (n_control + n_treatment - 2)::DOUBLE END"
-    return f"{t} AS t_stat, {df} AS df"
-
-
-def _with_zeros(prefix_src: str) -> str:
-    """From users_* counts and active moments n_/sum_/var_: merged mean and variance."""
-    cols = []
-    for tag in ("control", "treatment"):
-        n1 = f"coalesce(n_{tag}, 0)::DOUBLE"
-        s1 = f"coalesce(sum_{tag}, 0.0)"
-        m1 = f"coalesce({s1} / nullif({n1}, 0), 0.0)"
-        m2 = f"(coalesce(var_{tag}, 0.0) * greatest({n1} - 1.0, 0.0) + {n1} * (users_{tag} - {n1}) * {m1} * {m1} / nullif(users_{tag}::DOUBLE, 0))"
-        cols.append(f"{s1} / nullif(users_{tag}::DOUBLE, 0) AS mean_{tag}")
-        cols.append(f"{m2} / nullif(users_{tag} - 1.0, 0) AS var_{tag}")
-    return ", ".join(cols)
-
-
 Q: dict[str, str] = {}
 
 Q["user_day_metrics"] = BASE + f"""
@@ -217,7 +202,10 @@ SELECT experiment_id, control_observed, control_expected, treatment_observed, tr
        other_observed, {R6('test_stat')} AS test_stat, {R6('p_value')} AS p_value
 FROM p"""
 
-_TOTALS = 'SELECT date, "group", experiment_id, sum(total_purchase_amount) AS total_amount, count(*)::BIGINT AS user_days FROM exposed GROUP BY ALL'
+_TOTALS = """SELECT cal.date, cal."group", cal.experiment_id, coalesce(sum(x.total_purchase_amount), 0.0) AS total_amount,
+         count(x.user_id)::BIGINT AS user_days
+  FROM cal LEFT JOIN exposed x ON x.experiment_id = cal.experiment_id AND x."group" = cal."group" AND x.date = cal.date
+  GROUP BY ALL"""
 
 Q["group_day_totals"] = BASE + f"""
 , g AS ({_TOTALS})
@@ -263,22 +251,17 @@ SELECT x.experiment_id, x."group", CASE WHEN x.date < e.start_date THEN 'pre' EL
        count(DISTINCT x.user_id)::BIGINT AS users
 FROM exposed x JOIN experiments e USING (experiment_id) GROUP BY ALL"""
 
-_USERS_BY_EXP = """SELECT experiment_id, count_if("group" = 'control')::BIGINT AS users_control,
-       count_if("group" = 'treatment')::BIGINT AS users_treatment FROM assignments GROUP BY experiment_id"""
+_ACTIVE = ("count_if(active AND \"group\" = 'control')::BIGINT AS active_control, "
+           "count_if(active AND \"group\" = 'treatment')::BIGINT AS active_treatment")
+_OVERALL_COLS = f"""n_control, n_treatment, active_control, active_treatment,
+  {R6(DIV(CENTS('sum_control'), 'n_control'))} AS mean_control,
+  {R6(DIV(CENTS('sum_treatment'), 'n_treatment'))} AS mean_treatment"""
 
 Q["overall_ttest"] = BASE + f"""
-, m AS ({_moments('post_user', 'experiment_id')}),
-j AS (SELECT u.*, m.n_control, m.sum_control, m.var_control, m.n_treatment, m.sum_treatment, m.var_treatment
-      FROM ({_USERS_BY_EXP}) u LEFT JOIN m USING (experiment_id)),
-z AS (SELECT experiment_id, users_control AS n_control, users_treatment AS n_treatment,
-             coalesce(j.n_control, 0) AS active_control, coalesce(j.n_treatment, 0) AS active_treatment,
-             coalesce(sum_control, 0.0) AS sum_control, coalesce(sum_treatment, 0.0) AS sum_treatment,
-             {_with_zeros('j')} FROM j),
-t AS (SELECT *, {_merged_t()} FROM z),
+, m AS ({_moments('post_all', 'experiment_id').replace(' FROM ', f', {_ACTIVE} FROM ', 1)}),
+t AS (SELECT *, {_pooled_t()} FROM m),
 p AS ({student_p('t')})
-SELECT experiment_id, n_control, n_treatment, active_control, active_treatment,
-  {R6(DIV(CENTS('sum_control'), 'n_control'))} AS mean_control,
-  {R6(DIV(CENTS('sum_treatment'), 'n_treatment'))} AS mean_treatment,
+SELECT experiment_id, {_OVERALL_COLS},
   {R6('sqrt(var_control)')} AS sd_control, {R6('sqrt(var_treatment)')} AS sd_treatment,
   {R6('t_stat')} AS t_stat, {R6('df')} AS df, {R6('p_value')} AS p_value
 FROM p"""
@@ -309,8 +292,9 @@ _GC = 'SELECT experiment_id, "group", count(*)::BIGINT AS total_users FROM assig
 
 Q["active_rate"] = BASE + f"""
 , x AS ({_PERIODS.format(src='(SELECT experiment_id, "group", user_id, date FROM exposed)')}),
-a AS (SELECT experiment_id, "group", period, period_start, count(DISTINCT user_id)::BIGINT AS active_users
-      FROM x GROUP BY ALL)
+s AS (SELECT DISTINCT experiment_id, "group", period, period_start FROM ({_PERIODS.format(src='cal')})),
+a AS (SELECT s.experiment_id, s."group", s.period, s.period_start, count(DISTINCT user_id)::BIGINT AS active_users
+      FROM s LEFT JOIN x USING (experiment_id, "group", period, period_start) GROUP BY ALL)
 SELECT a.experiment_id, a."group", period, {D('period_start')} AS period_start, active_users, total_users,
        {R6('active_users::DOUBLE / total_users')} AS active_rate
 FROM a JOIN ({_GC}) g USING (experiment_id, "group")"""
@@ -324,30 +308,44 @@ s AS (SELECT user_id, us, sum(new) OVER (PARTITION BY user_id ORDER BY us ROWS B
 sess AS (SELECT user_id, sid, min(us) AS s0, max(us) AS s1 FROM s GROUP BY ALL),
 ud AS (SELECT user_id, make_timestamp(s0)::DATE AS date, count(*) AS sessions, sum(s1 - s0) AS duration_us
        FROM sess GROUP BY ALL),
-j AS (SELECT ud.*, a.experiment_id, a."group" FROM ud JOIN assignments a USING (user_id)),
+j AS (SELECT ud.*, a.experiment_id, a."group" FROM ud JOIN assignments a USING (user_id)
+      JOIN experiments e ON e.experiment_id = a.experiment_id AND ud.date BETWEEN e.start_date - e.pre_days AND e.end_date),
 x AS ({_PERIODS.format(src='j')}),
-g AS (SELECT experiment_id, "group", period, period_start, sum(sessions)::BIGINT AS sessions,
-             sum(duration_us)::BIGINT AS total_duration_us, count(DISTINCT user_id)::BIGINT AS active_users
-      FROM x GROUP BY ALL)
+p AS (SELECT DISTINCT experiment_id, "group", period, period_start FROM ({_PERIODS.format(src='cal')})),
+g AS (SELECT p.experiment_id, p."group", p.period, p.period_start, coalesce(sum(sessions), 0)::BIGINT AS sessions,
+             coalesce(sum(duration_us), 0)::BIGINT AS total_duration_us, count(DISTINCT user_id)::BIGINT AS active_users
+      FROM p LEFT JOIN x USING (experiment_id, "group", period, period_start) GROUP BY ALL)
 SELECT g.experiment_id, g."group", period, {D('period_start')} AS period_start, sessions, total_duration_us,
        active_users, total_users, {R6('total_duration_us / 1e6')} AS total_duration_sec,
        {R6('total_duration_us::DOUBLE / total_users / 1e6')} AS avg_duration_sec
 FROM g JOIN ({_GC}) c USING (experiment_id, "group")"""
 
+# The sessions of average_duration, as one value per assigned user in the treatment period.
+_SESSIONS = Q["average_duration"].removeprefix(BASE).split("j AS (")[0]
+Q["duration_ttest"] = BASE + _SESSIONS + f"""
+du AS (SELECT a.experiment_id, a.user_id, a."group", sum(ud.duration_us) / 1e6 AS value
+       FROM ud JOIN assignments a USING (user_id)
+       JOIN experiments e ON e.experiment_id = a.experiment_id AND ud.date BETWEEN e.start_date AND e.end_date GROUP BY ALL),
+da AS (SELECT a.experiment_id, a."group", coalesce(d.value, 0.0) AS value, d.value IS NOT NULL AS active
+       FROM assignments a LEFT JOIN du d ON d.experiment_id = a.experiment_id AND d.user_id = a.user_id),
+m AS ({_moments('da', 'experiment_id').replace(' FROM ', f', {_ACTIVE} FROM ', 1)}),
+t AS (SELECT *, {_pooled_t()} FROM m),
+p AS ({student_p('t')})
+SELECT experiment_id, n_control, n_treatment, active_control, active_treatment,
+  {R6('sum_control / n_control')} AS mean_control, {R6('sum_treatment / n_treatment')} AS mean_treatment,
+  {R6('t_stat')} AS t_stat, {R6('df')} AS df, {R6('p_value')} AS p_value FROM p"""
+
 Q["user_day_filled"] = BASE + f"""
-, cal AS (SELECT a.experiment_id, a.user_id, a."group", unnest(generate_series(e.start_date, e.end_date, INTERVAL 1 DAY))::DATE AS date
+, days AS (SELECT a.experiment_id, a.user_id, a."group", unnest(generate_series(e.start_date, e.end_date, INTERVAL 1 DAY))::DATE AS date
           FROM assignments a JOIN experiments e USING (experiment_id))
 SELECT c.experiment_id, c.user_id, c."group", {D('c.date')} AS date,
        coalesce(d.total_events, 0)::BIGINT AS total_events,
        {R6('coalesce(d.total_purchase_amount, 0.0)')} AS total_purchase_amount
-FROM cal c LEFT JOIN user_days d ON c.user_id = d.user_id AND c.date = d.date"""
+FROM days c LEFT JOIN user_days d ON c.user_id = d.user_id AND c.date = d.date"""
 
 _OVERALL_T = f"""
-m AS ({_moments('post_user', 'experiment_id')}),
-j AS (SELECT u.*, m.n_control, m.sum_control, m.var_control, m.n_treatment, m.sum_treatment, m.var_treatment
-      FROM ({_USERS_BY_EXP}) u LEFT JOIN m USING (experiment_id)),
-z AS (SELECT experiment_id, users_control AS n_control, users_treatment AS n_treatment, {_with_zeros('j')} FROM j),
-ot AS (SELECT experiment_id, {_merged_t()} FROM z),
+m AS ({_moments('post_all', 'experiment_id')}),
+ot AS (SELECT experiment_id, {_pooled_t()} FROM m),
 op AS ({student_p('ot')})"""
 
 Q["all_test_results"] = BASE + f"""
@@ -399,19 +397,14 @@ SELECT experiment_a, experiment_b, n_cc, n_ct, n_tc, n_tt, {R6('chi2')} AS chi2,
 
 AA_SALTS = 100
 Q["aa_test"] = BASE + f"""
-, pop AS (SELECT a.experiment_id, a.user_id, u.value FROM assignments a
-          LEFT JOIN post_user u ON a.experiment_id = u.experiment_id AND a.user_id = u.user_id),
-x AS (SELECT p.*, s.salt,
-             CASE WHEN {_hash('p.experiment_id', "'aa'", 's.salt::VARCHAR', 'p.user_id::VARCHAR')} < 0.5 * 4294967296.0
+, x AS (SELECT p.experiment_id, p.value, s.salt,
+             CASE WHEN ('0x' || substr(md5(p.experiment_id || '|aa|' || (s.salt // 4)::VARCHAR || '|' || p.user_id::VARCHAR),
+                                       (1 + 8 * (s.salt % 4))::BIGINT, 8))::BIGINT < a.experiment_ratio * 4294967296.0
                   THEN 'treatment' ELSE 'control' END AS g
-      FROM pop p, range(0, {AA_SALTS}) s(salt)),
-n AS (SELECT experiment_id, salt, count_if(g = 'control') AS users_control, count_if(g = 'treatment') AS users_treatment
-      FROM x GROUP BY ALL),
-m AS ({_moments('(SELECT * FROM x WHERE value IS NOT NULL)', 'experiment_id, salt', 'value', 'g')}),
-j AS (SELECT n.*, m.n_control, m.sum_control, m.var_control, m.n_treatment, m.sum_treatment, m.var_treatment
-      FROM n LEFT JOIN m USING (experiment_id, salt)),
-z AS (SELECT experiment_id, salt, users_control AS n_control, users_treatment AS n_treatment, {_with_zeros('j')} FROM j),
-t AS (SELECT experiment_id, salt, {_merged_t()} FROM z),
+      FROM post_all p JOIN assignments a ON a.experiment_id = p.experiment_id AND a.user_id = p.user_id,
+           range(0, {AA_SALTS}) s(salt)),
+m AS ({_moments('x', 'experiment_id, salt', 'value', 'g')}),
+t AS (SELECT experiment_id, salt, {_pooled_t()} FROM m),
 p AS ({student_p('t')})
 SELECT experiment_id, count(*)::BIGINT AS n_splits, count_if(p_value < 0.05)::BIGINT AS n_reject,
        {R6('count_if(p_value < 0.05)::DOUBLE / count(*)')} AS reject_share
@@ -419,14 +412,10 @@ FROM p GROUP BY experiment_id"""
 
 _ZSUM = z_quantile(1 - 0.05 / 2) + z_quantile(0.8)
 _SS = f"""
-, m AS (SELECT experiment_id, count(*) AS n1, sum(value) AS s1, var_samp(value) AS v1 FROM pre_user GROUP BY experiment_id),
-n AS (SELECT experiment_id, count(*)::BIGINT AS n_users FROM assignments GROUP BY experiment_id),
-j AS (SELECT n.experiment_id, n_users, coalesce(n1, 0)::DOUBLE AS n1, coalesce(s1, 0.0) AS pre_sum, v1
-      FROM n LEFT JOIN m USING (experiment_id)),
-k AS (SELECT *, pre_sum / n_users AS pre_mean,
-             (coalesce(v1, 0.0) * greatest(n1 - 1.0, 0.0)
-              + n1 * (n_users - n1) * coalesce(pre_sum / nullif(n1, 0), 0.0) * coalesce(pre_sum / nullif(n1, 0), 0.0) / n_users)
-             / nullif(n_users - 1.0, 0) AS pre_var FROM j),
+, pre_all AS (SELECT a.experiment_id, coalesce(p.value, 0.0) AS value
+              FROM assignments a LEFT JOIN pre_user p ON p.experiment_id = a.experiment_id AND p.user_id = a.user_id),
+k AS (SELECT experiment_id, count(*)::BIGINT AS n_users, sum(value) AS pre_sum, avg(value) AS pre_mean,
+             var_samp(value) AS pre_var FROM pre_all GROUP BY experiment_id),
 ss AS (SELECT *, ceil({2.0 * _ZSUM * _ZSUM!r} * pre_var / nullif((pre_mean * 0.1) * (pre_mean * 0.1), 0))::BIGINT AS required_per_group FROM k)"""
 
 Q["sample_size"] = BASE + _SS + f"""
@@ -437,7 +426,10 @@ Q["sample_progress"] = BASE + _SS + f"""
 , first AS (SELECT x.experiment_id, x."group", x.user_id, min(x.date) AS date
             FROM exposed x JOIN experiments e USING (experiment_id)
             WHERE x.date BETWEEN e.start_date AND e.end_date GROUP BY ALL),
-daily AS (SELECT experiment_id, "group", date, count(*)::BIGINT AS new_users FROM first GROUP BY ALL),
+daily AS (SELECT cal.experiment_id, cal."group", cal.date, count(f.user_id)::BIGINT AS new_users
+          FROM cal JOIN experiments e ON e.experiment_id = cal.experiment_id AND cal.date >= e.start_date
+          LEFT JOIN first f ON f.experiment_id = cal.experiment_id AND f."group" = cal."group" AND f.date = cal.date
+          GROUP BY ALL),
 cum AS (SELECT *, sum(new_users) OVER (PARTITION BY experiment_id, "group" ORDER BY date
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS users_so_far FROM daily)
 SELECT c.experiment_id, c."group", {D('c.date')} AS date, new_users, users_so_far, required_per_group,
@@ -473,12 +465,16 @@ SELECT (row_number() OVER (ORDER BY c_name, c_custkey) - 1)::BIGINT AS user_key,
 FROM customer"""
 
 _L = f"SELECT {_PAD} AS listing_id, p_retailprice AS price, p_brand, p_type, p_size AS accommodates FROM part"
-Q["one_hot"] = f"""
-WITH l AS ({_L}),
-b AS (PIVOT (SELECT {_PAD} AS listing_id, 'neighbourhood_cleansed_' || p_brand AS k FROM part) ON k USING count(*)::DOUBLE GROUP BY listing_id),
-r AS (PIVOT (SELECT {_PAD} AS listing_id, 'room_type_' || p_type AS k FROM part) ON k USING count(*)::DOUBLE GROUP BY listing_id)
-SELECT l.listing_id, {R6('l.price')} AS price, l.accommodates, b.* EXCLUDE (listing_id), r.* EXCLUDE (listing_id)
-FROM l JOIN b USING (listing_id) JOIN r USING (listing_id)"""
+_SOURCE = {"neighbourhood_cleansed": "p_brand", "room_type": "p_type"}
+_ONE_HOT = ", ".join(f"({_SOURCE[c]} = '{v}')::INTEGER::DOUBLE AS \"{clean_feature_name(f'{c}_{v}')}\""
+                     for c, values in LISTING_LEVELS.items() for v in values)
+Q["one_hot"] = f"SELECT listing_id, {R6('price')} AS price, accommodates, {_ONE_HOT} FROM ({_L})"
+
+Q["listing_features"] = f"SELECT listing_id, {R6('price')} AS price, {_ONE_HOT} FROM ({_L})"
+
+Q["one_hot_long"] = " UNION ALL ".join(
+    f"SELECT listing_id, '{c}_' || replace(replace(replace({col}, ' ', ''), '(', '-'), ')', '') AS feature, 1.0::DOUBLE AS value"
+    f" FROM ({_L}) WHERE {col} IS NOT NULL" for c, col in _SOURCE.items())
 
 Q["feature_key_check"] = f"""
 WITH l AS ({_L}), k AS (SELECT listing_id, count(*) AS n FROM l GROUP BY listing_id)

@@ -2,7 +2,7 @@
 
 Each takes (spark, sf_dir) and returns a DataFrame over whole tables. Output
 is presented for cross-engine comparison: days as 'yyyy-MM-dd' strings and
-doubles rounded half up at 1e-6 (``round6``); spread is shown as the standard
+doubles rounded at 1e-6 (``round6``); spread is shown as the standard
 deviation (exact variances of cent data often end in a 5 at the rounding digit,
 square roots practically never); means of money are shown as
 whole-cent sums over counts, so summation order cannot move a printed digit.
@@ -21,12 +21,19 @@ from abx.functions.columns import date_label, round6, to_cents
 from abx.operators import assign as A
 from abx.operators import audits as AU
 from abx.operators import features as FE
+from abx.operators import metrics as M
 from abx.operators import windows as W
 from abx.plans.analysis import ExperimentAnalysis
 from abx.sources import fixtures as FX
 
 FLAGSHIP_EXPERIMENT = "exp_all"
 
+# The levels of the fixtures' listing columns.
+LISTING_LEVELS = {
+    "neighbourhood_cleansed": [f"Brand#{i}" for i in range(1, 26)],
+    "room_type": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"],
+}
+
 
 def present(df: DataFrame) -> DataFrame:
     cols = []
@@ -52,7 +59,7 @@ def analysis(spark: SparkSession, sf_dir: str, assignment: str = "hash") -> Expe
 # ------------------------------------------------------------------ slice 1
 
 def q_user_day_metrics(spark, sf_dir):
-    return present(analysis(spark, sf_dir).user_days)
+    return present(M.user_day_metrics(FX.userlog(spark, sf_dir)))
 
 
 def q_assign_hash(spark, sf_dir):
@@ -141,6 +148,12 @@ def q_overall_ttest(spark, sf_dir):
         "t_stat", "df", "p_value"))
 
 
+def q_duration_ttest(spark, sf_dir):
+    d = analysis(spark, sf_dir).duration_ttest()
+    return present(d.select("experiment_id", "n_control", "n_treatment", "active_control", "active_treatment",
+                            "mean_control", "mean_treatment", "t_stat", "df", "p_value"))
+
+
 def q_active_rate_ztest(spark, sf_dir):
     return present(analysis(spark, sf_dir).active_rate_ztest())
 
@@ -233,11 +246,27 @@ def q_user_key_unique(spark, sf_dir):
 
 
 def q_one_hot(spark, sf_dir):
-    return present(FE.one_hot(FX.listings(spark, sf_dir), ["neighbourhood_cleansed", "room_type"]))
+    return present(FE.one_hot(FX.listings(spark, sf_dir), LISTING_LEVELS))
+
+
+def q_one_hot_long(spark, sf_dir):
+    return FE.one_hot_long(FX.listings(spark, sf_dir), "listing_id", list(LISTING_LEVELS))
+
+
+def q_listing_features(spark, sf_dir):
+    """The listing feature path: drop columns if present, one-hot, key check, keyed write."""
+    from abx.operators.audits import assert_unique_key
+    from abx.session import scratch_path
+    kept = FE.drop_if_present(FX.listings(spark, sf_dir), ["accommodates", "host_id", "review_scores_rating"])
+    feats = FE.one_hot(kept, LISTING_LEVELS)
+    assert_unique_key(feats, "listing_id")
+    path = scratch_path(spark, "listing-features")
+    FE.write_feature_table(feats, "listing_id", path)
+    return present(spark.read.schema(feats.schema).parquet(path))
 
 
 def q_feature_key_check(spark, sf_dir):
-    feats = FE.one_hot(FX.listings(spark, sf_dir), ["neighbourhood_cleansed", "room_type"])
+    feats = FE.one_hot(FX.listings(spark, sf_dir), LISTING_LEVELS)
     return AU.key_check(feats, "listing_id")
 
 
@@ -337,7 +366,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "activity_summary": q_activity_summary,
     "user_key_unique": q_user_key_unique,
     "one_hot": q_one_hot,
+    "one_hot_long": q_one_hot_long,
+    "listing_features": q_listing_features,
     "feature_key_check": q_feature_key_check,
+    "duration_ttest": q_duration_ttest,
     "price_model": q_price_model,
     "price_model_metrics": q_price_model_metrics,
     "score_by_group": q_score_by_group,

@@ -48,7 +48,8 @@ def frame_digest(pdf):
 def compare(spark, name, fn, sql, sf_dir, con=None):
     con = con or duck(sf_dir)
     s = fn(spark, sf_dir).toPandas()
-    d = con.execute(sql).df()
+    con.execute(f"CREATE OR REPLACE VIEW oracle_{name} AS {sql}")     # as the driver does
+    d = con.execute(f"SELECT * FROM oracle_{name}").df()
     sc, sn, sh, srows = frame_digest(s)
     dc, dn, dh, drows = frame_digest(d)
     ok = sc == dc and sn == dn and sh == dh

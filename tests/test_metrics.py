@@ -75,3 +75,41 @@ def test_user_day_filled_zero_rows(spark):
     out = M.user_day_filled(ud, a, e).collect()
     assert len(out) == 6
     assert sum(r.total_purchase_amount for r in out) == 4.0
+
+
+def test_log_longer_than_the_experiment(spark):
+    """All results keep to one period: the pre-days and the treatment days."""
+    import datetime as dt
+    from abx.config import Experiment
+    from abx.plans.analysis import ExperimentAnalysis
+    e = Experiment("e", 0.5, "true", dt.date(2024, 3, 10), dt.date(2024, 3, 12), 2)
+    log = spark.createDataFrame(
+        [(u, "1", dt.datetime(2024, 3, d, 12), "purchase", 10.0) for u in range(40) for d in range(1, 25)],
+        "user_id long, listing_id string, event_time timestamp, activity string, purchase_amount double")
+    users = spark.createDataFrame([(u,) for u in range(40)] + [(None,)], "user_id long")
+    a = ExperimentAnalysis(spark, log, users, [e])
+    assert a.assignments.count() == 40      # a null id is no user
+    assert {r.date.day for r in a.exposed.select("date").distinct().collect()} == {8, 9, 10, 11, 12}
+    totals = {r.phase: r.total_amount for r in a.pre_post_totals().groupBy("phase").sum("total_amount")
+              .withColumnRenamed("sum(total_amount)", "total_amount").collect()}
+    assert totals == {"pre": 800.0, "post": 1200.0}
+    assert a.experiment_results().count() == 10
+    assert a.sample_progress().count() == 6
+    r = a.overall_ttest().first()
+    assert r.sum_control + r.sum_treatment == 1200.0
+
+
+def test_days_without_activity_have_rows(spark):
+    import datetime as dt
+    from abx.config import Experiment
+    from abx.plans.analysis import ExperimentAnalysis
+    e = Experiment("e", 0.5, "true", dt.date(2024, 3, 10), dt.date(2024, 3, 14), 1)
+    log = spark.createDataFrame([(1, "1", dt.datetime(2024, 3, 12, 12), "purchase", 10.0)],
+                                "user_id long, listing_id string, event_time timestamp, activity string, purchase_amount double")
+    a = ExperimentAnalysis(spark, log, spark.createDataFrame([(u,) for u in range(9)], "user_id long"), [e])
+    rows = a.cumulative().where("total_amount > 0 or daily_cumulative_sum > 0").count()
+    assert a.group_day_totals().count() == 12 and rows == 3
+    assert a.active_rate().where("period = 'day'").count() == 12
+    assert a.average_duration().where("period = 'day' and sessions = 0").count() == 11
+    days = {(r.group, r.date.day): r.experiment_duration for r in a.experiment_results().collect()}
+    assert all(v == d - 9 for (_, d), v in days.items())

@@ -7,20 +7,21 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from abx.plans.queries import QUERIES
 
 from conftest import SF001
 
 SKIP_PLANNING = {"stream_user_day_metrics", "stream_assign", "price_model", "price_model_metrics",
-                 "score_by_group", "user_key_unique"}  # these execute jobs while being built
+                 "score_by_group", "user_key_unique", "listing_features"}  # these execute jobs while being built
 
 
 @pytest.fixture(scope="module")
 def plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")     # pushed filters in full
     try:
         out = {}
-        for name, fn in E.queries().items():
+        for name, fn in QUERIES.items():
             if name in SKIP_PLANNING:
                 continue
             out[name] = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
@@ -86,3 +87,18 @@ def test_scan_prunes_columns(plans):
     p = plans["daily_ttest"]
     assert "props" not in re.findall(r"ReadSchema: struct<ts[^>]*>", p)[0]
     assert "event_id" not in p
+
+
+@pytest.mark.parametrize("name", ["overall_ttest", "aa_test", "user_day_filled", "sample_size", "sample_progress",
+                                  "active_rate", "experiment_results", "all_test_results"])
+def test_period_reaches_the_scan(plans, name):
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plans[name])
+    assert any("GreaterThanOrEqual(ts,2024-01-01" in p and "LessThan(ts,2024-01-31" in p for p in pushed)
+
+
+def test_overlap_plan_does_not_grow(spark):
+    from abx.operators.stats import experiment_overlap
+    a = spark.createDataFrame([], "user_id long, `group` string, experiment_id string, experiment_ratio double")
+    size = [len(experiment_overlap(a, [f"e{i}" for i in range(n)])._jdf.queryExecution().optimizedPlan().toString().splitlines())
+            for n in (5, 50)]
+    assert size[0] == size[1]

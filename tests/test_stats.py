@@ -103,6 +103,23 @@ def test_overall_ttest_counts_zero_users(spark):
     assert r.t_stat == pytest.approx(want_t, rel=1e-10) and r.p_value == pytest.approx(want_p, abs=1e-12)
 
 
+def _experiment(spark, ratio=0.5):
+    import datetime as dt
+    from abx.config import Experiment
+    from abx.sources.tables import experiments_frame
+    return experiments_frame(spark, [Experiment("e", ratio, "true", dt.date(2024, 1, 1), dt.date(2024, 1, 31), 0)])
+
+
+def test_aa_splits_at_the_experiments_ratio(spark):
+    assign = spark.range(4000).select(F.col("id").alias("user_id"), F.lit("e").alias("experiment_id"),
+                                      F.lit(0.2).alias("experiment_ratio"))
+    days = spark.createDataFrame([(1, 5.0)], "user_id long, total_purchase_amount double").withColumn(
+        "date", F.lit("2024-01-05").cast("date"))
+    rows = S.aa_test(days, assign, _experiment(spark, 0.2), salts=10).collect()
+    assert len(rows) == 10 and all(r.n_control + r.n_treatment == 4000 for r in rows)
+    assert all(abs(r.n_treatment - 800) < 130 for r in rows) and len({r.n_treatment for r in rows}) > 3
+
+
 def test_aa_reject_share_near_alpha(spark):
     rng = np.random.default_rng(3)
     n = 4000
@@ -110,7 +127,9 @@ def test_aa_reject_share_near_alpha(spark):
     per_user = spark.createDataFrame([("e", i, "control", float(v)) for i, v in enumerate(vals)],
                                      "experiment_id string, user_id long, group string, value double")
     assign = per_user.select("user_id", "group", "experiment_id", F.lit(0.5).alias("experiment_ratio"))
-    s = S.aa_summary(S.aa_test(per_user, assign, salts=400)).first()
+    days = per_user.select("user_id", F.lit("2024-01-05").cast("date").alias("date"),
+                           F.col("value").alias("total_purchase_amount"))
+    s = S.aa_summary(S.aa_test(days, assign, _experiment(spark), salts=400)).first()
     assert s.n_splits == 400
     assert 0.02 <= s.reject_share <= 0.09
 
