@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import bpe, embedding, langid, packing, quality, simhash, substring, token_counts, toxicity, url_filter
+from abx.llm import bpe, embedding, langid, oracle, packing, quality, simhash, substring, token_counts, toxicity, url_filter
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -97,4 +97,9 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_best_fit_packing, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_quality_rules,
     op7_simhash_dedup, op8_substring_dedup, op9_token_counts, op10_embedding_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": oracle.url_sql(URL_RULES),
+    "op6_quality_rules": oracle.quality_sql(),
+    "op8_substring_dedup": oracle.substring_sql(50),
+    "op10_embedding_dedup": oracle.embedding_sql(0.95),
+}
