@@ -20,7 +20,9 @@ from pyspark.sql import SparkSession
 
 from abx.config import Experiment
 from abx.plans.analysis import ExperimentAnalysis
+from abx.schemas import USERLOG
 from abx.sources import catalog, sinks
+from abx.sources.tables import read_parquet, read_table
 
 RESULTS = ("assignments", "ratio_test", "experiment_results", "daily_ttest", "overall_ttest",
            "active_rate_ztest", "active_rate", "average_duration", "sample_progress")
@@ -62,16 +64,23 @@ def load_experiments(path: str) -> list[Experiment]:
                        int(r.get("pre_days", 0))) for r in rows]
 
 
+def load(spark: SparkSession, name: str, schema=None):
+    """A job input: a managed table (``db.table``) or a parquet path, read with its declared schema."""
+    if "/" not in name and spark.catalog.tableExists(name):
+        return read_table(spark, name)
+    return read_parquet(spark, name, schema)
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    p.add_argument("--log", required=True, help="parquet: user_id, listing_id, event_time, activity, purchase_amount")
-    p.add_argument("--users", required=True, help="parquet: user_id plus columns used by population predicates")
+    p.add_argument("--log", required=True, help="table or parquet path: user_id, listing_id, event_time, activity, purchase_amount")
+    p.add_argument("--users", required=True, help="table or parquet path: user_id plus columns used by population predicates")
     p.add_argument("--experiments", required=True, help="JSON list of experiment parameters")
     p.add_argument("--database", required=True)
     args = p.parse_args(argv)
     from abx.session import build_session
     spark = build_session()
-    run(spark, spark.read.parquet(args.log), spark.read.parquet(args.users),
+    run(spark, load(spark, args.log, USERLOG), load(spark, args.users),
         load_experiments(args.experiments), args.database)
 
 

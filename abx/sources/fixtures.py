@@ -40,13 +40,6 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def users_with_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users with the country name from the nation dimension."""
-    n = _table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("country"))
-    return users(spark, sf_dir).join(n, "nationkey", "left")
-
-
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings: listing_id (8 wide), price, neighbourhood_cleansed, room_type, accommodates."""
     p = _table(spark, sf_dir, "part")

@@ -24,6 +24,7 @@ from abx.config import DEFAULT_ACTIVITIES, Experiment
 from abx.functions.columns import pad_id
 from abx.operators.assign import assign
 from abx.operators.metrics import activity_column
+from abx.schemas import USERLOG_STREAM
 from abx.session import scratch_path
 
 EVENTS = T.StructType([
@@ -52,6 +53,16 @@ def stream_userlog(spark: SparkSession, directory: str, file_glob: str = "events
     )
 
 
+def stream_log(spark: SparkSession, directory: str, schema: T.StructType = USERLOG_STREAM,
+               max_files_per_trigger: int | None = None) -> DataFrame:
+    """A user log (user_id, listing_id, event_time, activity, purchase_amount) as a stream over
+    parquet files arriving in ``directory``, read with its declared schema."""
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(directory)
+
+
 def stream_user_day_metrics(log: DataFrame, activities: Sequence[str] = DEFAULT_ACTIVITIES,
                             watermark: str = "1 hour") -> DataFrame:
     """User-day metrics on a stream; a day is final once the watermark passes it."""

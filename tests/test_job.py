@@ -26,3 +26,13 @@ def test_rerun_of_one_experiment_leaves_others(spark):
     other = t.filter((F.col("experiment_id") == "exp_all") & (F.col("date") == dt.date(2024, 1, 11))).first()
     assert other.experiment_day == 1
     assert spark.table("abx_job.ratio_test").count() == 3
+
+
+def test_job_reads_tables_and_paths(spark, scratch):
+    from abx.plans.job import load
+    from abx.schemas import USERLOG
+    df = spark.createDataFrame([(1, "2", None, "view", None)], USERLOG)
+    df.write.parquet(f"{scratch}/log")
+    df.write.mode("overwrite").saveAsTable("job_input_log")
+    assert load(spark, f"{scratch}/log", USERLOG).schema == USERLOG
+    assert load(spark, "job_input_log").count() == 1

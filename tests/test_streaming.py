@@ -62,3 +62,12 @@ def test_event_later_than_watermark_is_dropped(spark, scratch):
     q.awaitTermination()
     days = {r.date: r.total_purchase_amount for r in spark.read.parquet(out).collect()}
     assert days[dt.date(2024, 1, 1)] == 5.0  # the late purchase of 100 did not reach the closed day
+
+
+def test_stream_of_user_log_files(spark, scratch):
+    import datetime as dt
+    from abx.schemas import USERLOG_STREAM
+    from abx.streaming.stream import run_available, stream_log
+    rows = [(u, "1", dt.datetime(2024, 1, 1 + u % 2, 3), "view", None) for u in range(10)]
+    spark.createDataFrame(rows, USERLOG_STREAM).write.parquet(f"{scratch}/log")
+    assert run_available(stream_log(spark, f"{scratch}/log"), "plain").count() == 10
