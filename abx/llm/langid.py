@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abx.llm.runtime import free_name, slices
+from abx.llm.runtime import free_name, slices, small_batches
 
 ORDERS = (1, 2, 3)
 BLOCK = 1 << 19           # characters scored at once
@@ -122,6 +122,7 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, settings
     unit = F.pmod(F.xxhash64("i", F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.where(unit < share[F.col("l")]).select("t", "l")
     buckets = settings.buckets
+    small_batches(labelled.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(langs), buckets + 1), np.int64)
@@ -156,6 +157,7 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, settings
 def predictor(spark, model: Model):
     """A column function: text -> ``struct<lang_pred, score>``. The matrix (buckets x
     languages floats, a bound that does not depend on the data) is broadcast once."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast((model.langs, model.prior, model.weights))
 
     @F.arrow_udf(RESULT)

@@ -47,6 +47,16 @@ def worker_cache(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers in batches of 16 MB or 2,000 rows at most, so that a
+    worker's memory does not follow the length of texts. Smaller settings are kept."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)):
+        now = int(str(spark.conf.get(key)).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, lengthened until no column of ``df`` is called so (in any case)."""
     taken = {c.lower() for c in df.columns}
@@ -55,6 +65,11 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often ``body`` names it."""
     return F.transform(F.array(value), body)[0]

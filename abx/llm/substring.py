@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from abx.llm.runtime import free_name, slices, texts_of, written
+from abx.llm.runtime import columns_of, free_name, slices, small_batches, texts_of, written
 
 WINDOW = 50
 GRAM = 5
@@ -132,6 +132,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other. An empty table gives an empty result. Texts in which nothing is removed are
     unchanged; ids must be of an ordered type.
     """
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
     kind = id_type.simpleString()
     to_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
@@ -186,7 +187,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pressed_schema = T.StructType(
         [T.StructField(z if f.name == text_col else f.name, T.BinaryType() if f.name == text_col else f.dataType)
          for f in docs.schema] + [T.StructField(doc, id_type), T.StructField(key, T.LongType())])
-    pressed = docs.select(*docs.columns, F.col(id_col).alias(doc), text_key.alias(key)).mapInArrow(press, pressed_schema)
+    pressed = docs.select(*columns_of(docs), F.col(id_col).alias(doc), text_key.alias(key)).mapInArrow(press, pressed_schema)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["m", "s", "doc", "k", "start", "n", "packed"]
@@ -252,8 +253,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield record(covered)
         yield spans(held)
 
-    moved = (pressed.join(travel.select(F.col("doc").alias(doc), F.col("k").alias(key), "wanted"), [doc, key])
-             .select(doc, key, z, "wanted")
+    wish = free_name(docs, "_wanted")
+    moved = (pressed.join(travel.select(F.col("doc").alias(doc), F.col("k").alias(key), F.col("wanted").alias(wish)),
+                          [doc, key])
+             .select(doc, key, z, wish)
              .mapInArrow(unpack, f"m long, s int, doc {kind}, k long, start int, n int, packed binary")
              .repartition("m", "s").sortWithinPartitions("m", "s")
              .mapInArrow(count, f"doc {kind}, k long, start int, length int"))
@@ -281,8 +284,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 + [pa.array(total, pa.int64()), pa.array(lost, pa.int64())],
                 names=out_names)
 
-    columns = [z if c == text_col else c for c in docs.columns]
-    joined = pressed.join(spans.withColumnRenamed("_spans", cuts), [doc, key], "left").select(*columns, cuts)
+    joined = pressed.join(spans.withColumnRenamed("_spans", cuts), [doc, key], "left").drop(doc, key)
     out_schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema]
                               + [T.StructField(c, T.LongType()) for c in out_names[-2:]])
     return joined.mapInArrow(cut, out_schema)

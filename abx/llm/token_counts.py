@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abx.llm.runtime import slices, worker_cache
+from abx.llm.runtime import slices, small_batches, worker_cache
 
 CHUNK = 16_384      # characters
 OVERLAP = 256
@@ -43,6 +43,7 @@ def load(path: str):
             splice = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                       and not spec.get("normalizer") and not spec.get("post_processor")
                       and not any(len(t["content"]) >= OVERLAP or t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"])
+                              or t["content"][:1].isalpha()
                                   for t in spec.get("added_tokens", [])))
             tokenizer = Tokenizer.from_file(path)
             tokenizer.no_truncation()
@@ -125,6 +126,7 @@ def with_token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
             yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n, pa.int64())],
                                   names=["doc_id", "n_bytes", "n_tokens"])
 
+    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"))
     kind = base.schema["doc_id"].dataType.simpleString()
