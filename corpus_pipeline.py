@@ -30,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = free_name(docs, "found")
     return (docs.withColumn(found, langid.predictor(spark, model)(F.col("text")))
             .where((F.col(f"{found}.lang_pred") != "und") & (F.col(f"{found}.score") >= MIN_LANGUAGE_SCORE))
-            .select(*docs.columns))
+            .drop(found))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    return cut.drop(*cut.columns[-2:])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
