@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abx.llm.runtime import worker_cache
+from abx.llm.runtime import small_batches, worker_cache
 
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
-CACHE_ENTRIES = 300_000     # per worker; a full cache is emptied, results do not depend on it
+CACHE_ENTRIES = 100_000     # per worker; a full cache is emptied, results do not depend on it
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,7 @@ class Settings:
     min_posterior: float = 0.5      # of a positive, given the feature: prior x share in positives / in unlabelled
     steps: int = 400
     rate: float = 0.1
-    decay: float = 1e-4
+    decay: float = 1e-3
 
 
 @dataclass(frozen=True)
@@ -108,23 +108,34 @@ def fit_nnpu(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, s: Sett
     pos, unl = _spread(pos), _spread(unl)
     if not pos or not unl or prior <= 0:
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
-    in_p = np.bincount(np.concatenate(pos), minlength=s.buckets) / len(pos)
-    in_u = np.bincount(np.concatenate(unl), minlength=s.buckets) / len(unl)
+    held, in_p = np.unique(np.concatenate(pos), return_counts=True)
+    in_p = in_p / len(pos)
+    in_u = np.zeros(len(held))
+
+    def found(sets: list[np.ndarray], among: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, place in ``among``) of the features of some texts at a time."""
+        for a in range(0, len(sets), 500):
+            part = sets[a:a + 500]
+            flat = np.concatenate(part)
+            at = np.minimum(np.searchsorted(among, flat), max(0, len(among) - 1)).astype(np.int32)
+            hit = np.flatnonzero(among[at] == flat) if len(among) else np.zeros(0, np.int64)
+            yield np.repeat(np.arange(a, a + len(part), dtype=np.int32), [len(x) for x in part])[hit], at[hit]
+
+    for _, at in found(unl, held):
+        in_u += np.bincount(at, minlength=len(held))
+    in_u /= len(unl)
     base = np.maximum(in_u, 1.0 / len(unl))
     z = (in_p - in_u) / np.sqrt(base * (1 / len(pos) + 1 / len(unl)))
     good = np.flatnonzero((z >= s.min_z) & (in_p * len(pos) >= s.min_count - 1e-9)
                           & (prior * in_p >= s.min_posterior * in_u))
-    good = np.sort(good[np.argsort(-z[good], kind="stable")[:s.max_features]])
-    del in_p, in_u, base, z
+    good = held[np.sort(good[np.argsort(-z[good], kind="stable")[:s.max_features]])]
 
     def sparse(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-        at = np.searchsorted(good, flat)
-        hit = np.flatnonzero(good[np.minimum(at, len(good) - 1)] == flat) if len(good) else np.zeros(0, np.int64)
-        return row[hit], at[hit]
+        rows, cols = zip(*found(sets, good))
+        return np.concatenate(rows), np.concatenate(cols)
 
     (pr, pc), (ur, uc) = sparse(pos), sparse(unl)
-    w, b = np.zeros(len(good)), 0.0
+    w, b = np.zeros(len(good)), -1.0
     m, v = np.zeros(len(good) + 1), np.zeros(len(good) + 1)
 
     def grad(rows: np.ndarray, cols: np.ndarray, per_row: np.ndarray) -> np.ndarray:
@@ -132,19 +143,24 @@ def fit_nnpu(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, s: Sett
 
     for step in range(1, s.steps + 1):
         gp, gu = _gather(pr, pc, len(pos), w, b), _gather(ur, uc, len(unl), w, b)
-        # Logistic loss: l(g) = log(1 + exp(-g)) for positives, l(-g) for negatives.
-        neg_risk = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+        # Sigmoid loss, bounded as the estimator wants it: 1 - s for positives, s for negatives.
         sp, su = 0.5 * (1 + np.tanh(gp / 2)), 0.5 * (1 + np.tanh(gu / 2))
-        d_neg = grad(ur, uc, su / len(unl)) - prior * grad(pr, pc, sp / len(pos))
-        if neg_risk >= 0:
-            d = d_neg + prior * grad(pr, pc, (sp - 1) / len(pos))
-        else:               # the estimate went below zero: undo the overfitting of the negative part
-            d = -d_neg
+        neg_risk = su.mean() - prior * sp.mean()
+        slope_p = prior * grad(pr, pc, sp * (1 - sp) / len(pos))
+        d_neg = grad(ur, uc, su * (1 - su) / len(unl)) - slope_p
+        # Below zero the estimate overfits the unlabelled texts: that part is undone.
+        d = d_neg - slope_p if neg_risk >= 0 else -d_neg
         d[:-1] += s.decay * w
         m, v = 0.9 * m + 0.1 * d, 0.999 * v + 0.001 * d * d
         move = s.rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return Model(good, w, float(b))
+    # The threshold with the least risk by the same estimator, midway to the next lower value.
+    gp, gu = (np.sort(_gather(r, c, n, w, b).round(9)) for r, c, n in ((pr, pc, len(pos)), (ur, uc, len(unl))))
+    cuts = np.unique(np.concatenate((gp, gu, [max(gp[-1], gu[-1]) + 2])))
+    hit_p = 1 - np.searchsorted(gp, cuts) / len(pos)
+    hit_u = 1 - np.searchsorted(gu, cuts) / len(unl)
+    k = int(np.argmin(prior * (1 - hit_p) + np.maximum(0, hit_u - prior * hit_p)))
+    return Model(good, w, float(b - (cuts[k] + cuts[max(0, k - 1)]) / 2))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -165,6 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = min(1.0, settings.max_unlabelled / max(1, base.count()))
     unit = F.pmod(F.xxhash64("i", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
     buckets = settings.buckets
+    small_batches(docs.sparkSession)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
@@ -175,7 +192,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def sampled(frame: DataFrame) -> list[np.ndarray]:
         # Bounded by the settings: this is the sample, not the corpus.
         sets = frame.select("t").mapInArrow(features, "f array<int>").toArrow()["f"]
-        return [x.values.to_numpy().astype(np.int64) for x in sets]
+        # Views into the Arrow buffers: the features stand in memory once, as 32-bit numbers.
+        return [part[a:b] for c in sets.chunks for part, ends in ((c.values.to_numpy(), c.offsets.to_numpy()),)
+                for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
     pos = sampled(base.join(F.broadcast(confirmed), "i"))
     unl = sampled(base.where(unit < share))
@@ -185,13 +204,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def scorer(spark, model: Model, buckets: int = Settings.buckets):
     """A column function: text -> score in 0..1. The broadcast weights number at most
     ``max_features``. Null and empty texts get the score of the bias alone."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast((dict(zip(model.features.tolist(), model.weights.tolist())), model.bias))
-    name = f"toxicity-{shared._jbroadcast.id()}"
+    name = shared._jbroadcast.id()
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         weights, bias = shared.value
-        cache, wanted = worker_cache(name), {f // 4 for f in weights}
+        mine, wanted = worker_cache("toxicity"), {f // 4 for f in weights}
+        if mine.get("model") != name:       # another model's tokens
+            mine.clear()
+            mine.update(model=name, tokens={})
+        cache = mine["tokens"]
         g = np.array([bias + sum(weights.get(f, 0.0) for f in text_features(t, cache, buckets, wanted))
                       for t in texts.to_pylist()], float)
         return pa.array(0.5 * (1 + np.tanh(g / 2)), pa.float64())

@@ -180,7 +180,7 @@ def test_toxicity_edges(spark):
         if i % 8 == 0:
             t[3] = t[9] = "horribleword"
         rows.append((i, " ".join(t), i))
-    df = spark.createDataFrame(rows + [(1000, None, 0), (1001, "", 0), (None, "horribleword", 0)],
+    df = spark.createDataFrame(rows + [(1000, None, 0), (1001, "", 0), (None, "horribleword, horribleword", 0)],
                                "doc_id long, text string, f int")
     labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(200)] + [(0, 0), (None, 1), (5, None)],
                                    "doc_id long, toxic int")
