@@ -21,11 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abx.llm.components import connected_components, merge_labels
-from abx.llm.runtime import texts_of, written
+from abx.llm.runtime import columns_of, small_batches, texts_of, written
 
 SEED = 42
 BLOCK = 1 << 16         # shingles counted at once
-SHARD = 1 << 14         # members that a shard is planned for
+SHARD = 1 << 16         # members that a shard is planned for: each halving costs half as many copies again
 SAMPLE = 1 << 18        # fingerprints that the tree is planned on, at most, and a tenth of all
 ROWS, COLUMNS = 64, 4096
 
@@ -168,6 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     that repeat an id each get their text's result. An empty table gives an empty
     result; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     fps = written(docs.select(F.col(id_col).alias("doc_id"),
                               fingerprint_column(shingle)(F.col(text_col)).alias("fp")), "fingerprints")
     firsts = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
@@ -186,4 +187,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     found = near_duplicates(docs, id_col, text_col, shingle, distance)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     has_id = F.col(id_col).isNotNull()
-    return docs.where(has_id).join(kept, id_col, "left_semi").select(*docs.columns).unionByName(docs.where(~has_id))
+    return docs.where(has_id).join(kept, id_col, "left_semi").select(*columns_of(docs)).unionByName(docs.where(~has_id))
