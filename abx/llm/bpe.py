@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abx.llm.runtime import worker_cache
+from abx.llm.runtime import small_batches, worker_cache
 from abx.llm.tokens import encode_all
 
 # Fixed value: the pattern by which byte-level vocabularies of this kind split text into words.
@@ -44,14 +44,22 @@ def byte_symbols() -> list[str]:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    byte_ids: list[int]
-    merges: dict[tuple[int, int], tuple[int, int]]     # pair -> (rank, merged id)
+    byte_ids: np.ndarray
+    merges: list[tuple[int, int, int]]      # by rank: first, second, merged id
+    pairs: np.ndarray                       # sorted codes of the pairs, and the rank of each
+    pair_ranks: np.ndarray
     words: "re.Pattern"
     added: dict[str, int]
     added_split: "re.Pattern | None"
     token_at: np.ndarray        # start of each id's bytes in ``blob``, one more at the end
     blob: np.ndarray
 
+    def ranks(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The rank of each pair, -1 where none is merged."""
+        code = (first << 32) | second
+        k = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+        return np.where(self.pairs[k] == code, self.pair_ranks[k], -1)
+
 
 def read_vocabulary(path: str) -> Vocabulary:
     """A byte-level ``.json`` vocabulary without normalizer, post-processor or prefix space."""
@@ -63,93 +71,101 @@ def read_vocabulary(path: str) -> Vocabulary:
         raise ValueError(f"{path} is not a plain byte-level BPE vocabulary")
     ids, symbols = model["vocab"], byte_symbols()
     made: dict[int, int] = {}
-    merges: dict[tuple[int, int], tuple[int, int]] = {}
+    merges: list[tuple[int, int, int]] = []
     for rank, pair in enumerate(model["merges"]):
         a, b = pair.split(" ") if isinstance(pair, str) else pair
         new = ids[a + b]
         if new in made or max(made.get(ids[a], -1), made.get(ids[b], -1)) >= rank:
             raise ValueError("a merge does not rank above those that make its parts")
         made[new] = rank
-        merges[ids[a], ids[b]] = (rank, new)
+        merges.append((ids[a], ids[b], new))
     back = {s: b for b, s in enumerate(symbols)}
     added = {t["content"]: t["id"] for t in spec["added_tokens"]}
     if any(t["single_word"] or t["lstrip"] or t["rstrip"] or any(c.isspace() for c in t["content"])
-           for t in spec["added_tokens"]):
+           or t["content"][:1].isalpha() for t in spec["added_tokens"]):
         raise ValueError("added tokens with options are not supported")
     table = [b""] * (max([*ids.values(), *added.values()]) + 1)
     for s, i in [*ids.items(), *added.items()]:
         table[i] = bytes(back[c] for c in s) if all(c in back for c in s) else s.encode()
     # Longer added tokens first: the longest that fits is taken.
     split = "|".join(re.escape(s) for s in sorted(added, key=len, reverse=True))
-    return Vocabulary([ids[s] for s in symbols], merges, regex.compile(PATTERN), added,
+    codes = np.array([(a << 32) | b for a, b, _ in merges] or [-1], np.int64)
+    order = np.argsort(codes)
+    return Vocabulary(np.array([ids[s] for s in symbols], np.int64), merges, codes[order], order, regex.compile(PATTERN), added,
                       re.compile(f"({split})") if split else None,
                       np.cumsum([0, *map(len, table)]), np.frombuffer(b"".join(table), np.uint8))
 
 
-def merge_words(words: list[bytes], v: Vocabulary) -> list[list[int]]:
-    """The ids of each word, by one ascending pass over the active ranks."""
-    symbol: list[int] = []      # by position; -1 where a merge has taken the symbol
-    left: list[int] = []
-    right: list[int] = []
-    starts = []
-    index: dict[tuple[int, int], list[int]] = {}
-    merges, byte_ids = v.merges, v.byte_ids
-    for word in words:
-        a = len(symbol)
-        starts.append(a)
-        symbol.extend([byte_ids[x] for x in word])
-        b = len(symbol)
-        left.extend(range(a - 1, b - 1))
-        right.extend(range(a + 1, b + 1))
-        if b > a:
-            left[a], right[b - 1] = -1, -1
-        for i in range(a, b - 1):
-            pair = (symbol[i], symbol[i + 1])
-            if pair in merges:
-                index.setdefault(pair, []).append(i)
-    active = [(*merges[pair], pair) for pair in index]
-    heapq.heapify(active)
+def merge_words(words: list[bytes], v: Vocabulary) -> list[bytes]:
+    """The ids of each word (int32 as bytes), by one ascending pass over the active ranks.
+    All occurrences of a rank are merged at once."""
+    size = np.array([len(w) for w in words], np.int64)
+    symbol = v.byte_ids[np.frombuffer(b"".join(words), np.uint8)]   # by position; -1 where a merge took it
+    ends = np.cumsum(size)
+    left, right = np.arange(-1, len(symbol) - 1), np.arange(1, len(symbol) + 1)
+    left[(ends - size)[size > 0]] = -1
+    right[(ends - 1)[size > 0]] = -1
+    index: dict[int, list[int]] = {}        # rank of a pair -> positions of its first symbol
+
+    def occur(at: np.ndarray) -> None:
+        ranks = v.ranks(symbol[at], symbol[right[at]])
+        hit = np.flatnonzero(ranks >= 0)
+        if not len(hit):
+            return
+        hit = hit[np.argsort(ranks[hit], kind="stable")]
+        ranks, places = ranks[hit], at[hit].tolist()
+        heads = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        a = 0
+        for rank, b in zip(ranks[np.concatenate(([0], heads))].tolist(), [*heads.tolist(), len(places)]):
+            known = index.get(rank)
+            if known is None:
+                index[rank] = places[a:b]
+                heapq.heappush(active, rank)
+            else:
+                known += places[a:b]
+            a = b
+
+    active: list[int] = []
+    occur(np.flatnonzero(right >= 0))
     while active:
-        _, new, pair = heapq.heappop(active)
-        first, second = pair
-        for i in sorted(index.pop(pair)):
-            j = right[i]
-            if symbol[i] != first or j < 0 or symbol[j] != second:
-                continue        # a merge at a lower rank, or to the left, has used it
-            symbol[i], symbol[j] = new, -1
-            after, before = right[j], left[i]
-            right[i] = after
-            if after >= 0:
-                left[after] = i
-            for place, near in ((before, (symbol[before], new) if before >= 0 else None),
-                                (i, (new, symbol[after]) if after >= 0 else None)):
-                if near in merges:
-                    if near not in index:
-                        index[near] = []
-                        heapq.heappush(active, (*merges[near], near))
-                    index[near].append(place)
-    out = []
-    for a, word in zip(starts, words):
-        ids, i = [], a if word else -1
-        while i >= 0:
-            ids.append(symbol[i])
-            i = right[i]
-        out.append(ids)
-    return out
+        rank = heapq.heappop(active)
+        first, second, new = v.merges[rank]
+        at = np.unique(index.pop(rank))
+        after = right[at]
+        # A merge of lower rank may have used a place since it was noted.
+        still = (symbol[at] == first) & (after >= 0) & (symbol[after] == second)
+        at, after = at[still], after[still]
+        if first == second and len(at) > 1:     # a run of one symbol pairs off from the left
+            keep, taken = [], set()
+            for k, (i, j) in enumerate(zip(at.tolist(), after.tolist())):
+                if i not in taken:
+                    keep.append(k)
+                    taken.add(j)
+            at, after = at[keep], after[keep]
+        if not len(at):
+            continue
+        beyond = right[after]
+        symbol[at], symbol[after], right[at] = new, -1, beyond
+        inside = beyond >= 0
+        left[beyond[inside]] = at[inside]
+        before = left[at]
+        occur(np.concatenate((before[before >= 0], at[inside])))
+    alive = np.concatenate(([0], np.cumsum(symbol >= 0)))
+    data = symbol[symbol >= 0].astype("<i4").tobytes()
+    cut = (4 * alive[np.concatenate(([0], ends))]).tolist()
+    return [data[x:y] for x, y in zip(cut, cut[1:])]
 
 
 def encode_units(units: list[str], v: Vocabulary) -> list[bytes]:
     """Ids (int32 as bytes) of texts that are encoded by themselves: added tokens are cut
     out, the rest is split into words, and the distinct words are merged together."""
-    split: list[list[str]] = []
-    for u in units:
-        if v.added_split and v.added_split.search(u):
-            split.append(list(chain.from_iterable(
-                [part] if k % 2 else v.words.findall(part) for k, part in enumerate(v.added_split.split(u)))))
-        else:
-            split.append(v.words.findall(u))
-    words = list({w for u in split for w in u}.difference(v.added))
-    ids = {w: np.array(x, "<i4").tobytes() for w, x in zip(words, merge_words([w.encode() for w in words], v))}
+    if v.added_split and v.added_split.search("\n".join(units)):
+        split = [list(chain.from_iterable([part] if k % 2 else v.words.findall(part)
+                                          for k, part in enumerate(v.added_split.split(u)))) for u in units]
+    else:
+        split = list(map(v.words.findall, units))
+    words = list(set(chain.from_iterable(split)).difference(v.added))
+    ids = dict(zip(words, merge_words([w.encode() for w in words], v)))
     ids.update({w: np.array([i], "<i4").tobytes() for w, i in v.added.items()})
     return [b"".join(map(ids.__getitem__, u)) for u in split]
 
@@ -197,6 +213,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                      pa.array([decode_ids(x, v).decode("utf-8", "replace") for x in ids], pa.string())],
                     names=["doc_id", "ids", "decoded"])
 
+    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
     return base.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
