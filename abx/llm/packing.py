@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from abx.llm.runtime import worker_cache, written
+from abx.llm.runtime import small_batches, worker_cache, written
 from abx.llm.token_counts import load
-from abx.llm.tokens import encode_all
+from abx.llm.tokens import encode_all, library_units
 
 END_ID = 0              # ends each document
 ROWS_PER_BUCKET = 50_000    # of pieces that one window ranks
@@ -136,16 +136,14 @@ def pieces_of(docs: DataFrame, path: str, size: int = 2048, id_col: str = "doc_i
     that all pieces but the first are full. Null text counts as empty.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, tokenizer, _ = load(path)
-
-        def encode(units: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(units, add_special_tokens=False)]
-
+        _, tokenizer, by_units = load(path)
+        encode = library_units(tokenizer)
         cache = worker_cache("ids-" + path)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            coded = encode_all([t or "" for t in batch.column(1).to_pylist()], encode, cache)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            coded = encode_all(texts, encode, cache) if by_units else encode(texts)
             for i, data in enumerate(coded):
                 data += end
                 n = len(data) // 4
@@ -168,6 +166,7 @@ def pieces_of(docs: DataFrame, path: str, size: int = 2048, id_col: str = "doc_i
                 columns, names = [*columns, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.record_batch(columns, names=names)
 
+    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
     return base.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
