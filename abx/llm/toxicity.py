@@ -20,17 +20,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abx.llm.runtime import small_batches, worker_cache
+from abx.llm.quality import words_of
+from abx.llm.runtime import small_batches, worker_cache, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
+SKETCH = 3
 CACHE_ENTRIES = 100_000     # per worker; a full cache is emptied, results do not depend on it
 
 
 @dataclass(frozen=True)
 class Settings:
-    """The fit's bounds: at most ``max_positives`` confirmed documents (those with the lowest
-    hash of their id) and about ``max_unlabelled`` others, whole texts both."""
+    """The fit's bounds: at most ``max_positives`` confirmed texts (those with the lowest hash
+    of their unit) and about ``max_unlabelled`` others, whole texts both. Copies are one."""
 
     max_positives: int = 4000
     max_unlabelled: int = 12000
@@ -95,17 +97,18 @@ def _gather(rows: np.ndarray, cols: np.ndarray, n: int, w: np.ndarray, b: float)
     return b + np.bincount(rows, weights=w[cols], minlength=n)
 
 
-def _spread(sets: list[np.ndarray]) -> list[np.ndarray]:
-    """One feature set for each bottom-3 sketch: copies and most near copies of a text
-    share theirs, and would else make its chance words look telling."""
-    return list({tuple(x[:3]): x for x in sets}.values())
+def unit_of(text: Column) -> Column:
+    """A key that copies and most near copies of a text share: of its distinct lower-case
+    words the ``SKETCH`` lowest hashes, as one number."""
+    words = F.transform(words_of(F.lower(text)), lambda w: F.xxhash64(w))
+    return F.xxhash64(F.slice(F.sort_array(F.array_distinct(words)), 1, SKETCH))
 
 
 def fit_nnpu(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, s: Settings) -> Model:
     """Train on feature sets. A feature needs a prior-corrected posterior (common words of
     long texts have none) and a z score of its share in positives over that in
-    unlabelled texts; the best by z bound the model. Near copies count once."""
-    pos, unl = _spread(pos), _spread(unl)
+    unlabelled texts; the best by z bound the model. Copies are to be folded before, and
+    the prior is to count what the sets stand for."""
     if not pos or not unl or prior <= 0:
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
     held, in_p = np.unique(np.concatenate(pos), return_counts=True)
@@ -167,38 +170,49 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "toxic", settings: Settings = Settings()) -> Model:
     """Fit from the rows of ``labels`` given here (a fold, say) and text of ``docs``.
 
-    The class prior is the share of positives among the labelled ids. Null ids and
-    labels are ignored; an id labelled both ways counts as positive. The chosen ids,
-    ``max_positives`` at most, are broadcast, so no text is shuffled.
+    Copies make one unit (see ``unit_of``), or their chance words would look telling; both
+    samples and the class prior are over units. The prior is the share of positive units,
+    each weighted by the labelled share of its rows, so that units are not counted the more
+    for having more rows to label. Null ids and labels, and labels without a document, are
+    ignored; an id or unit labelled both ways counts as positive. What is shuffled of all
+    documents is ids and hashes, and the chosen units, which are broadcast, are bounded.
     """
     rows = (labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("y"))
             .where("i is not null and y is not null").groupBy("i").agg(F.max("y").alias("y")))
-    known = rows.agg(F.count("*").alias("n"), F.sum("y").alias("p")).first()
+    base = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
+    # h names the one text that stands for the unit.
+    units = written(base.select("i", "h", unit_of(F.col("t")).alias("k")).join(rows, "i", "left").groupBy("k").agg(
+        F.min("h").alias("h"), F.max("y").alias("y"), (F.count("y") / F.count("*")).alias("w")), "units")
+    known = units.agg(F.count("*").alias("units"), F.sum("w").alias("n"), F.sum(F.when(F.col("y") == 1, F.col("w"))).alias("p")).first()
     if not known.n or not known.p:
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
-    confirmed = rows.where("y = 1").orderBy(F.xxhash64("i"), "i").limit(settings.max_positives).select("i")
-    base = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null")
-    share = min(1.0, settings.max_unlabelled / max(1, base.count()))
-    unit = F.pmod(F.xxhash64("i", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
+    confirmed = units.where("y = 1").orderBy(F.xxhash64("k"), "k").limit(settings.max_positives)
+    unit = F.pmod(F.xxhash64("k", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
+    others = units.where(unit < min(1.0, settings.max_unlabelled / known.units))
     buckets = settings.buckets
     small_batches(docs.sparkSession)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
+        seen: set[int] = set()      # a task sends each unit once
         for batch in batches:
-            sets = [text_features(t, cache, buckets) for t in batch.column(0).to_pylist()]
-            yield pa.record_batch([pa.array(sets, pa.list_(pa.int32()))], names=["f"])
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            first = [at for at, k in enumerate(keys) if not (k in seen or seen.add(k))]
+            sets = [text_features(texts[at].as_py(), cache, buckets) for at in first]
+            yield pa.record_batch([pa.array([keys[at] for at in first], pa.int64()), pa.array(sets, pa.list_(pa.int32()))],
+                                  names=["k", "f"])
 
-    def sampled(frame: DataFrame) -> list[np.ndarray]:
+    def sampled(chosen: DataFrame) -> list[np.ndarray]:
         # Bounded by the settings: this is the sample, not the corpus.
-        sets = frame.select("t").mapInArrow(features, "f array<int>").toArrow()["f"]
+        got = (base.join(F.broadcast(chosen.select("h", "k")), "h").select("k", "t")
+               .mapInArrow(features, "k long, f array<int>").dropDuplicates(["k"]).toArrow())
         # Views into the Arrow buffers: the features stand in memory once, as 32-bit numbers.
-        return [part[a:b] for c in sets.chunks for part, ends in ((c.values.to_numpy(), c.offsets.to_numpy()),)
+        sets = [part[a:b] for c in got["f"].chunks for part, ends in ((c.values.to_numpy(), c.offsets.to_numpy()),)
                 for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        return [sets[at] for at in np.argsort(got["k"].to_numpy())]     # in an order that no task decides
 
-    pos = sampled(base.join(F.broadcast(confirmed), "i"))
-    unl = sampled(base.where(unit < share))
-    return fit_nnpu(pos, unl, known.p / known.n, settings)
+    return fit_nnpu(sampled(confirmed), sampled(others), known.p / known.n, settings)
 
 
 def scorer(spark, model: Model, buckets: int = Settings.buckets):

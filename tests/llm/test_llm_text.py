@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from abx.llm import bpe, langid, packing, quality, queries, simhash, substring, token_counts, tokens, toxicity
 from conftest import SF001
 
@@ -204,6 +205,26 @@ def test_nnpu_beats_treating_unlabelled_as_negative():
     assert all(m.bias + weights[f] > 0 for f in (4000, 4001, 4002)) and m.bias < 0
 
 
+@pytest.mark.parametrize("toxic", [0, 1])
+def test_toxicity_with_a_large_group_of_copies(spark, scratch, toxic):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    alone = docs.join(labels.where(F.col("toxic") == toxic), "doc_id").where(~toxicity.held_out(F.col("doc_id")))
+    text = alone.where("length(text) between 1000 and 2000").orderBy("doc_id").first().text
+    n = labels.count()      # as many copies again: half of the labelled rows
+    ids = spark.range(10_000_000, 10_000_000 + n).toDF("doc_id")
+    docs.unionByName(ids.withColumn("text", F.lit(text))).write.parquet(f"{scratch}/documents.parquet")
+    labels.unionByName(ids.withColumn("toxic", F.lit(toxic).cast(labels.schema["toxic"].dataType))).write.parquet(
+        f"{scratch}/labels.parquet")
+    want = {r.doc_id: r.predicted for r in queries.op5_toxicity(spark, sf).collect()}
+    got = {r.doc_id: r.predicted for r in queries.op5_toxicity(spark, scratch).collect()}
+    assert len(got) == len(want) + n and {i: got[i] for i in want} == want
+    assert {got[i] for i in got if i not in want} == {toxic}
+    kept = corpus_pipeline.toxic(spark, spark.read.parquet(f"{scratch}/documents.parquet"), scratch)
+    assert {r.doc_id for r in kept.collect()} == {i for i in got if not got[i]}
+
+
 # --- 6 quality --------------------------------------------------------------
 
 def brute_quality(text):
