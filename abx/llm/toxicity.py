@@ -25,7 +25,7 @@ from abx.llm.runtime import small_batches, worker_cache, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
-SKETCH = 3
+SKETCH = 16
 CACHE_ENTRIES = 100_000     # per worker; a full cache is emptied, results do not depend on it
 
 
@@ -99,7 +99,9 @@ def _gather(rows: np.ndarray, cols: np.ndarray, n: int, w: np.ndarray, b: float)
 
 def unit_of(text: Column) -> Column:
     """A key that copies and most near copies of a text share: of its distinct lower-case
-    words the ``SKETCH`` lowest hashes, as one number."""
+    words the ``SKETCH`` lowest hashes, as one number. Single common words cannot make two
+    texts one; texts of the very same words are one, as they are to the model but for
+    how often the words recur."""
     words = F.transform(words_of(F.lower(text)), lambda w: F.xxhash64(w))
     return F.xxhash64(F.slice(F.sort_array(F.array_distinct(words)), 1, SKETCH))
 

@@ -225,6 +225,18 @@ def test_toxicity_with_a_large_group_of_copies(spark, scratch, toxic):
     assert {r.doc_id for r in kept.collect()} == {i for i in got if not got[i]}
 
 
+def test_units_are_copies_and_not_texts_of_common_words(spark):
+    rng = random.Random(6)
+    common = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(common) for _ in range(60)) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(300 + i, t.upper().replace(" ", "\n")) for i, t in enumerate(texts)]
+    rows += [(600, "of"), (601, "of the"), (602, "of the and"), (603, ""), (604, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", toxicity.unit_of(F.col("text")).alias("k"))
+    got = {r.doc_id: r.k for r in df.collect()}
+    assert len({got[i] for i in range(300)}) == 300 and all(got[i] == got[300 + i] for i in range(300))
+    assert len({got[600 + i] for i in range(4)}) == 4 and got[603] == got[604]
+
+
 # --- 6 quality --------------------------------------------------------------
 
 def brute_quality(text):
