@@ -164,8 +164,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = kmers.groupBy("m").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("m")
     found = written(kmers.join(shared, "m", "left_semi"), "shared")
     first = found.groupBy("m", "d1", "d2").agg(F.min("doc").alias("first"))
-    told = written(found.join(first, ["m", "d1", "d2"]).select("doc", "k", "start", "n", "m", (F.col("doc") > F.col("first")).alias("copy")),
-                   "told")
+    # Rows that repeat an id and its text tell the same: one of them is enough from here on.
+    told = written(found.join(first, ["m", "d1", "d2"]).select(
+        "doc", "k", "start", "n", "m", (F.col("doc") > F.col("first")).alias("copy")).distinct(), "told")
     # Different super-k-mers of a minimiser, of all its documents; hot ones are split.
     sizes = (told.where("not copy").groupBy("m").agg(F.count("*").alias("c"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
              .where("lo < hi").select("m", F.when(F.col("c") > HOT, F.ceil(F.col("c") * window / HOT)).otherwise(0)
@@ -254,8 +255,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         yield spans(held)
 
     wish = free_name(docs, "_wanted")
-    moved = (pressed.join(travel.select(F.col("doc").alias(doc), F.col("k").alias(key), F.col("wanted").alias(wish)),
-                          [doc, key])
+    asked = travel.select(F.col("doc").alias(doc), F.col("k").alias(key), F.col("wanted").alias(wish))
+    moved = (pressed.select(doc, key, z).dropDuplicates([doc, key]).join(asked, [doc, key])
              .select(doc, key, z, wish)
              .mapInArrow(unpack, f"m long, s int, doc {kind}, k long, start int, n int, packed binary")
              .repartition("m", "s").sortWithinPartitions("m", "s")

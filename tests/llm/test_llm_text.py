@@ -395,6 +395,27 @@ def test_substring_against_brute_force(spark, monkeypatch, hot):
     assert substring.remove_repeats(df.where("false")).count() == 0
 
 
+def rows_out(plan, kind):
+    """Rows that the plan's nodes of a kind gave, after it ran."""
+    name = plan.getClass().getSimpleName()
+    below = ([plan.executedPlan()] if name == "AdaptiveSparkPlanExec" else [plan.plan()] if name.endswith("QueryStageExec")
+             else [plan.children().apply(i) for i in range(plan.children().size())])
+    mine = [plan.metrics().apply("pythonNumRowsReceived").value()] if name.startswith(kind) else []
+    return mine + [n for p in below for n in rows_out(p, kind)]
+
+
+def test_substring_rows_that_repeat_a_document(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(5000)}" for _ in range(3000)]
+    other = list(words)
+    other[25::60] = ["x"] * len(other[25::60])     # minimisers are shared, super-k-mers are not all equal
+    rows = [(1, " ".join(other))] + [(2, " ".join(words))] * 30
+    cut = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    got = sorted((r.doc_id, r.n_words, r.n_removed, b" ".join((r.text or "").encode().split())) for r in cut.collect())
+    assert got == sorted(brute_cut(rows)) and got[-1][2] > 0
+    assert max(rows_out(cut._jdf.queryExecution().executedPlan(), "MapInArrow")) < 30 * 30
+
+
 # --- 9 token counts ---------------------------------------------------------
 
 def test_spliced_counts(library):
