@@ -133,3 +133,28 @@ links AS (SELECT a AS node, count(*) AS n FROM both_ways GROUP BY a)
 SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, v.vec_id) AS component_id,
        coalesce(component_id, v.vec_id) = v.vec_id AS kept
 FROM v LEFT JOIN comp ON comp.node = v.vec_id LEFT JOIN links ON links.node = v.vec_id"""
+
+
+def centroids_sql(k: int, dim: int, rounds: int, scale: int, seed: str) -> str:
+    squared = "list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    floor_of = "((s - ((s % n) + n) % n) // n)"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT row, vec_id, x, arg_min(cl, (d, cl)) AS cl, min(d) AS d
+        FROM (SELECT row, vec_id, x, cl, {squared} AS d FROM v, c{r}) GROUP BY row, vec_id, x)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (SELECT cl, j, {floor_of} AS m FROM (
+        SELECT cl, j, sum(x[j])::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{r}, range(1, {dim} + 1) q(j) GROUP BY cl, j)),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.cl, coalesce(any_value(t.c), any_value(c{r}.c)) AS c FROM c{r}
+        LEFT JOIN (SELECT cl, list(m::BIGINT ORDER BY j) AS c FROM m{r} GROUP BY cl) t ON t.cl = c{r}.cl GROUP BY c{r}.cl)""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(e, lambda t: floor({scale} * t)::BIGINT) AS x
+      FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)
+      WHERE len(e) = {dim} AND len(list_filter(e, lambda t: t IS NULL OR NOT isfinite(t))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}' || vec_id), x) - 1 AS cl, x AS c
+       FROM v WHERE vec_id IS NOT NULL QUALIFY cl < {k}),{','.join(steps)}
+SELECT vec_id, a{rounds}.cl::INTEGER AS cluster, d::BIGINT AS distance, sum(d) OVER (PARTITION BY a{rounds}.cl)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.cl = a{rounds}.cl"""

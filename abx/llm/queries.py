@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import bpe, embedding, langid, oracle, packing, quality, simhash, substring, token_counts, toxicity, url_filter
+from abx.llm import (bpe, centroids, embedding, langid, oracle, packing, quality, simhash, substring, token_counts, toxicity, url_filter,
+                     whitening)
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -94,12 +95,29 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+CENTROIDS = centroids.Settings(k=8, dim=64, rounds=10, scale=1024, seed="3:")
+
+
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in 8 clusters after 10 rounds, in exact integers."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), settings=CENTROIDS)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened on 32 principal axes. ``deviation`` is null where it would not
+    fit a long; ``deviation_exact`` always holds it."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+    return found.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_best_fit_packing, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_quality_rules,
-    op7_simhash_dedup, op8_substring_dedup, op9_token_counts, op10_embedding_dedup)}
+    op7_simhash_dedup, op8_substring_dedup, op9_token_counts, op10_embedding_dedup,
+    op11_centroid_clustering, op12_embedding_whitening)}
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": oracle.url_sql(URL_RULES),
     "op6_quality_rules": oracle.quality_sql(),
     "op8_substring_dedup": oracle.substring_sql(50),
     "op10_embedding_dedup": oracle.embedding_sql(0.95),
+    "op11_centroid_clustering": oracle.centroids_sql(CENTROIDS.k, CENTROIDS.dim, CENTROIDS.rounds, CENTROIDS.scale, CENTROIDS.seed),
 }
