@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abx.llm import (bpe, centroids, embedding, langid, oracle, packing, quality, simhash, substring, token_counts, toxicity, url_filter,
+from abx.llm import (bpe, centroids, embedding, langid, oracle, packing, pii, quality, simhash, substring, token_counts, toxicity, url_filter,
                      whitening)
 
 DIGEST6 = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -110,10 +110,20 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text; the model learns from what the patterns find."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    return found.select("doc_id", *(pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS),
+                        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+                        pii.joined(pii.merged(F.col("base"), F.col("added"))).alias("spans"),
+                        F.size("added").cast("long").alias("n_added"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_best_fit_packing, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_quality_rules,
     op7_simhash_dedup, op8_substring_dedup, op9_token_counts, op10_embedding_dedup,
-    op11_centroid_clustering, op12_embedding_whitening)}
+    op11_centroid_clustering, op12_embedding_whitening, op13_pii)}
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": oracle.url_sql(URL_RULES),
     "op6_quality_rules": oracle.quality_sql(),
