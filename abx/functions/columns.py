@@ -53,3 +53,8 @@ def date_label(x) -> Column:
 def clean_feature_name(name: str) -> str:
     """Feature column names: spaces dropped, '(' -> '-', ')' dropped."""
     return name.replace(" ", "").replace("(", "-").replace(")", "")
+
+
+def clean_feature_column(name: Column) -> Column:
+    """``clean_feature_name`` of a string column."""
+    return F.translate(F.replace(F.replace(name, F.lit(" "), F.lit("")), F.lit("("), F.lit("-")), ")", "")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abx.functions.columns import clean_feature_name
+from abx.functions.columns import clean_feature_column, clean_feature_name
 
 def levels(df: DataFrame, col: str) -> list[str]:
     """Sorted distinct non-null values of ``col``, for a table in which they are few by
@@ -47,8 +47,7 @@ def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """One-hot features in long form: (key, feature, value 1.0) for each non-null value of
     ``columns``. Features are named as in ``one_hot``; any number of levels."""
     def name(c: str):
-        v = F.concat(F.lit(f"{c}_"), F.col(c).cast("string"))
-        return F.translate(F.replace(F.replace(v, F.lit(" "), F.lit("")), F.lit("("), F.lit("-")), ")", "")
+        return clean_feature_column(F.concat(F.lit(f"{c}_"), F.col(c).cast("string")))
 
     parts = F.array(*[F.struct(name(c).alias("feature"), F.lit(1.0).alias("value")) for c in columns])
     return (df.select(F.col(key), F.explode(parts).alias("f")).select(key, "f.feature", "f.value")

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from abx.config import DEFAULT_ACTIVITIES, FIXTURE_EXPERIMENTS
 from abx.functions.columns import clean_feature_name
+from abx.operators.models import EVENT_TYPES
 from abx.operators.stats import z_quantile
-from abx.plans.queries import FLAGSHIP_EXPERIMENT, LISTING_LEVELS
+from abx.plans.queries import FLAGSHIP_EXPERIMENT, GROUP_PENALTIES, LISTING_LEVELS, PRICE_PENALTIES
 
 STEPS = 2000
 
@@ -491,4 +492,110 @@ Q["stream_assign"] = BASE + """
 SELECT a.user_id, a."group", a.experiment_id, a.experiment_ratio
 FROM assignments a WHERE a.user_id IN (SELECT user_id FROM events)"""
 
+# ------------------------------------------------------------------ models
+
+_I, _Y = "(intercept)", "(label)"
+
+
+def _net(tag: str, p) -> str:
+    """CTEs on ``gram_g`` (model-free sums s of feature pairs): coefficients ``coef_{tag}`` by cyclic
+    coordinate descent, one coordinate a step."""
+    l1, l2 = p.alpha * p.l1_ratio, p.alpha * (1.0 - p.l1_ratio)
+    return f"""
+cd_{tag} AS (
+  SELECT 0 AS k, list_transform(v, lambda x: 0.0::DOUBLE) AS w, v AS g FROM gram_vec
+  UNION ALL
+  SELECT k + 1, list_transform(w, lambda x, i: CASE WHEN i = q THEN new ELSE x END),
+         list_transform(g, lambda x, i: x - (new - w[q]) * c[q][i])
+  FROM (SELECT *, CASE WHEN c[q][q] + {l2!r} <= 0 THEN w[q] ELSE sign(rho) * greatest(abs(rho) - {l1!r}, 0) / (c[q][q] + {l2!r}) END AS new
+        FROM (SELECT *, g[q] + c[q][q] * w[q] AS rho FROM (
+          SELECT k, w, g, c, k % len(w) + 1 AS q FROM cd_{tag}, gram_mat WHERE k < {NET_SWEEPS} * len(w))))),
+coef_{tag} AS (
+  SELECT '{tag}' AS model, unnest(f) AS feature, unnest(w) AS coefficient
+  FROM (SELECT arg_max(w, k) AS w FROM cd_{tag}), gram_mat),
+full_{tag} AS (
+  SELECT * FROM coef_{tag} UNION ALL
+  SELECT '{tag}', '{_I}', (SELECT m FROM gram_m WHERE f = '{_Y}') - (SELECT sum(m * coefficient) FROM coef_{tag} JOIN gram_m ON f = feature))"""
+
+
+NET_SWEEPS = 250
+
+
+def nets(z: str, penalties) -> str:
+    """CTEs: ``z`` (row, feature, value), its sums, and ``coef``: the coefficients of all penalties."""
+    tags = list(penalties)
+    return f"""
+gram_z AS MATERIALIZED ({z}),
+gram_g AS MATERIALIZED (SELECT a.feature AS i, b.feature AS j, sum(a.value * b.value) AS s FROM gram_z a JOIN gram_z b USING (row) GROUP BY ALL),
+gram_n AS (SELECT s AS n FROM gram_g WHERE i = '{_I}' AND j = '{_I}'),
+gram_m AS MATERIALIZED (SELECT i AS f, s / n AS m FROM gram_g, gram_n WHERE j = '{_I}' AND i <> '{_I}'),
+gram_c AS MATERIALIZED (SELECT a.f AS i, b.f AS j, coalesce(s, 0) / n - a.m * b.m AS c
+  FROM gram_m a CROSS JOIN gram_m b CROSS JOIN gram_n LEFT JOIN gram_g ON gram_g.i = a.f AND gram_g.j = b.f),
+gram_mat AS MATERIALIZED (SELECT list(c ORDER BY i) AS c, list(i ORDER BY i) AS f
+  FROM (SELECT i, list(c ORDER BY j) AS c FROM gram_c WHERE i <> '{_Y}' AND j <> '{_Y}' GROUP BY i)),
+gram_vec AS MATERIALIZED (SELECT list(c ORDER BY i) AS v FROM gram_c WHERE i <> '{_Y}' AND j = '{_Y}'),{','.join(_net(t, p) for t, p in penalties.items())},
+coef AS ({' UNION ALL '.join(f'SELECT * FROM full_{t}' for t in tags)})"""
+
+
+def _clean(x: str) -> str:
+    return f"replace(replace(replace({x}, ' ', ''), '(', '-'), ')', '')"
+
+
+_PRICE_Z = f"""
+  SELECT listing_id AS row, '{_I}' AS feature, 1.0::DOUBLE AS value FROM ({_L}) WHERE price IS NOT NULL
+  UNION ALL SELECT listing_id, '{_Y}', price FROM ({_L}) WHERE price IS NOT NULL
+  UNION ALL SELECT listing_id, 'accommodates', accommodates::DOUBLE FROM ({_L}) WHERE price IS NOT NULL AND accommodates <> 0
+""" + " ".join(f"UNION ALL SELECT listing_id, '{c}_' || {_clean(col)}, 1.0 FROM ({_L}) WHERE price IS NOT NULL AND {col} IS NOT NULL"
+               for c, col in _SOURCE.items())
+
+_SCORED = """
+SELECT z.row, coef.model, sum(z.value * coef.coefficient) AS prediction
+FROM gram_z z JOIN coef ON coef.feature = z.feature GROUP BY ALL"""
+
+_FIT = f"""sqrt(avg((y - prediction) ** 2)) AS rmse, avg(abs(y - prediction)) AS mae,
+       1 - avg((y - prediction) ** 2) / var_pop(y) AS r2, count(*)::BIGINT AS n"""
+
+Q["price_model"] = f"""
+WITH RECURSIVE {nets(_PRICE_Z, PRICE_PENALTIES)}
+SELECT model, feature, {R6('coefficient')} AS coefficient FROM coef"""
+
+Q["price_model_optimality"] = f"""
+WITH z AS ({_PRICE_Z})
+SELECT model, feature, count(*)::BIGINT AS rows, 0.0::DOUBLE AS violation
+FROM z, (VALUES {', '.join(f"('{t}')" for t in PRICE_PENALTIES)}) p(model) WHERE feature <> '{_Y}' GROUP BY ALL"""
+
+Q["price_model_metrics"] = f"""
+WITH RECURSIVE {nets(_PRICE_Z, PRICE_PENALTIES)},
+p AS (SELECT s.model, s.prediction, z.value AS y FROM ({_SCORED}) s JOIN gram_z z ON z.row = s.row AND z.feature = '{_Y}'),
+f AS (SELECT model, {_FIT} FROM p GROUP BY model)
+SELECT model, {R6('rmse')} AS rmse, {R6('mae')} AS mae, {R6('r2')} AS r2, n FROM f"""
+
+_UDAY = f"""
+ud_rows AS MATERIALIZED (SELECT e.user_id, CAST(ts AS DATE) AS date, sum(value) AS label,
+  {', '.join(f"count_if(event_type = '{t}')::BIGINT AS n_{t}" for t in EVENT_TYPES)}
+  FROM events e GROUP BY ALL)"""
+_UDAY_KEY = "(user_id, date)"
+_UDAY_Z = (f"SELECT {_UDAY_KEY} AS row, '{_I}' AS feature, 1.0::DOUBLE AS value FROM ud_rows"
+           f" UNION ALL SELECT {_UDAY_KEY}, '{_Y}', label FROM ud_rows "
+           + " ".join(f"UNION ALL SELECT {_UDAY_KEY}, 'n_{t}', n_{t}::DOUBLE FROM ud_rows WHERE n_{t} <> 0" for t in EVENT_TYPES)
+           + f" UNION ALL SELECT (r.user_id, r.date), 'segment_' || {_clean('u.segment')}, 1.0 FROM ud_rows r JOIN users u USING (user_id)"
+             " WHERE u.segment IS NOT NULL")
+_GROUP_SCORES = f"""{BASE.replace('WITH userlog', 'WITH RECURSIVE userlog', 1)},{_UDAY},{nets(_UDAY_Z, GROUP_PENALTIES)},
+scored AS (
+  SELECT r.user_id, r.date, a."group", r.label, sum(z.value * coef.coefficient) AS prediction
+  FROM ud_rows r JOIN assignments a ON a.user_id = r.user_id AND a.experiment_id = '{FLAGSHIP_EXPERIMENT}'
+  JOIN gram_z z ON z.row = (r.user_id, r.date) JOIN coef ON coef.model = a."group" AND coef.feature = z.feature GROUP BY ALL)"""
+
+Q["score_by_group"] = f"""{_GROUP_SCORES}
+SELECT user_id, {D('date')} AS date, "group", {R6('label')} AS label, round_even(prediction * 1e4, 0) / 1e4 AS prediction FROM scored"""
+
+Q["score_metrics"] = f"""{_GROUP_SCORES},
+f AS (SELECT "group", {_FIT} FROM (SELECT *, label AS y FROM scored) GROUP BY "group")
+SELECT "group", {R6('rmse')} AS rmse, {R6('mae')} AS mae, {R6('r2')} AS r2, n FROM f"""
+
+Q["score_rejects"] = BASE + f""",{_UDAY}
+SELECT r.user_id, {D('r.date')} AS date, a."group", {R6('label')} AS label
+FROM ud_rows r LEFT JOIN assignments a ON a.user_id = r.user_id AND a.experiment_id = 'exp1'
+WHERE a."group" IS NULL"""
+
 ORACLE_SQL = Q

@@ -21,7 +21,9 @@ from abx.functions.columns import date_label, round6, to_cents
 from abx.operators import assign as A
 from abx.operators import audits as AU
 from abx.operators import features as FE
+from abx.operators import gram as G
 from abx.operators import metrics as M
+from abx.operators import models as MD
 from abx.operators import windows as W
 from abx.plans.analysis import ExperimentAnalysis
 from abx.sources import fixtures as FX
@@ -272,43 +274,83 @@ def q_feature_key_check(spark, sf_dir):
 
 # ------------------------------------------------------------------ models
 
-MODEL_PARAMS = {"control": (0.05, 0.05), "treatment": (0.5, 0.5)}
+def _penalty(alpha: float, l1_ratio: float) -> MD.ElasticNet:
+    return MD.ElasticNet(alpha, l1_ratio, max_iter=20_000, tol=1e-13)
 
 
-def _model_table(spark, sf_dir):
-    from abx.operators import models as MD
-    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return MD.model_table(ev, FX.users(spark, sf_dir))
+PRICE_PENALTIES = {"mild": _penalty(0.05, 0.05), "strong": _penalty(0.5, 0.5)}
+GROUP_PENALTIES = {"control": _penalty(0.05, 0.05), "treatment": _penalty(0.5, 0.5)}
+
+
+def round4(x):
+    return F.rint(x * F.lit(1e4)) / F.lit(1e4)
+
+
+def price_rows(spark, sf_dir):
+    """Listings with their price as label and their other columns as sparse features."""
+    return FX.listings(spark, sf_dir).select(
+        "listing_id", F.col("price").alias("label"), G.sparse_features(["accommodates"], list(LISTING_LEVELS)).alias("features"))
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once in the checkpoint folder: what follows reads rows, not the plan behind them."""
+    from abx.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def q_price_model(spark, sf_dir):
-    """Elastic-net coefficients (alpha 0.05, l1_ratio 0.05) on the user-day model table."""
-    from abx.operators import models as MD
-    t = _model_table(spark, sf_dir)
-    feats = MD.feature_columns(t)
-    m = MD.fit_linear(t, feats, params=MD.ElasticNet(0.05, 0.05))
-    return spark.createDataFrame(MD.coefficients(m, feats), "feature string, coefficient double")
+    """Elastic nets of the price on listing features, two penalties from one pass."""
+    return present(G.fit(price_rows(spark, sf_dir), PRICE_PENALTIES))
+
+
+def q_price_model_optimality(spark, sf_dir):
+    """The optimality condition of each coefficient, judged on the listings."""
+    rows = price_rows(spark, sf_dir)
+    models = kept(G.fit(rows, PRICE_PENALTIES), "price-model")
+    found = G.optimality(rows, models, PRICE_PENALTIES, ["listing_id"])
+    return present(found.select("model", "feature", "rows", "violation"))
 
 
 def q_price_model_metrics(spark, sf_dir):
-    from abx.operators import models as MD
-    t = _model_table(spark, sf_dir)
-    feats = MD.feature_columns(t)
-    m = MD.fit_linear(t, feats, params=MD.ElasticNet(0.05, 0.05))
-    return present(MD.fit_metrics(t.withColumn("prediction", MD.linear_expr(MD.coefficients(m, feats)))))
+    rows = price_rows(spark, sf_dir)
+    models = kept(G.fit(rows, PRICE_PENALTIES), "price-model")
+    each = rows.select("*", F.explode(F.array(*map(F.lit, PRICE_PENALTIES))).alias("model"))
+    return present(G.metrics_by_model(G.score(each, models, ["listing_id"], "model", carry=["label"])))
+
+
+def group_models(spark, sf_dir):
+    """User-day rows, and a model for each group: two penalties over the sums of one pass."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    rows = kept(G.user_day_rows(events, FX.users(spark, sf_dir), MD.EVENT_TYPES), "user-day-rows")
+    return rows, kept(G.fit(rows, GROUP_PENALTIES), "group-models")
 
 
 def q_score_by_group(spark, sf_dir):
     """exp_all users' days scored by the model of their group (two parameter sets)."""
-    from abx.operators import models as MD
-    t = _model_table(spark, sf_dir)
-    feats = MD.feature_columns(t)
-    coefs = {g: MD.coefficients(MD.fit_linear(t, feats, params=MD.ElasticNet(a, r)), feats)
-             for g, (a, r) in MODEL_PARAMS.items()}
+    rows, models = group_models(spark, sf_dir)
     exps = [e for e in FIXTURE_EXPERIMENTS if e.experiment_id == FLAGSHIP_EXPERIMENT]
     a = A.assign(FX.users(spark, sf_dir), exps).select("user_id", "group")
-    scored, _ = MD.score_by_group(t.join(a, "user_id"), coefs)
-    return present(scored.select("user_id", "date", "group", "label", "prediction"))
+    scored = G.score(rows.join(a, "user_id"), models, ["user_id", "date"], "group", carry=["label"])
+    return present(scored.withColumn("prediction", round4(F.col("prediction"))))
+
+
+def q_score_metrics(spark, sf_dir):
+    """Fit quality of each group's model on its own users' days."""
+    rows, models = group_models(spark, sf_dir)
+    exps = [e for e in FIXTURE_EXPERIMENTS if e.experiment_id == FLAGSHIP_EXPERIMENT]
+    a = A.assign(FX.users(spark, sf_dir), exps).select("user_id", "group")
+    scored = G.score(rows.join(a, "user_id"), models, ["user_id", "date"], "group", carry=["label"])
+    return present(G.metrics_by_model(scored, "group"))
+
+
+def q_score_rejects(spark, sf_dir):
+    """User-days that exp1 cannot score: users outside its population have no group, so no model."""
+    rows, models = group_models(spark, sf_dir)
+    exps = [e for e in FIXTURE_EXPERIMENTS if e.experiment_id == "exp1"]
+    a = A.assign(FX.users(spark, sf_dir), exps).select("user_id", "group")
+    return present(G.rejects(rows.join(a, "user_id", "left"), models, "group").select("user_id", "date", "group", "label"))
 
 
 # ------------------------------------------------------------------ streaming
@@ -372,7 +414,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duration_ttest": q_duration_ttest,
     "price_model": q_price_model,
     "price_model_metrics": q_price_model_metrics,
+    "price_model_optimality": q_price_model_optimality,
     "score_by_group": q_score_by_group,
+    "score_metrics": q_score_metrics,
+    "score_rejects": q_score_rejects,
     "stream_user_day_metrics": q_stream_user_day_metrics,
     "stream_assign": q_stream_assign,
 }

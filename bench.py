@@ -20,7 +20,7 @@ HEADLINE = [
     "user_day_metrics", "assign_multi", "assign_quota", "ratio_test", "daily_ttest",
     "experiment_results", "overall_ttest", "active_rate_ztest", "active_rate", "average_duration",
     "user_day_filled", "aa_test", "sample_progress", "experiment_overlap", "duration_ttest",
-    "one_hot", "listing_features", "user_key_unique", "score_by_group", "stream_user_day_metrics", "stream_assign",
+    "one_hot", "listing_features", "user_key_unique", "price_model", "score_by_group", "stream_user_day_metrics", "stream_assign",
 ]
 
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from abx.operators import gram as G
 from abx.operators import models as MD
 
 
@@ -73,3 +74,89 @@ def test_model_table_keys_and_onehot(spark):
     assert t.groupBy("user_id", "date").count().filter("count > 1").count() == 0
     seg = [c for c in t.columns if c.startswith("segment_")]
     assert seg and t.select(sum(F.col(c) for c in seg).alias("s")).distinct().collect()[0].s == 1.0
+
+
+# --- models from sums of feature pairs, kept as tables -----------------------
+
+SPARSE = "id long, label double, features array<struct<feature:string,value:double>>"
+
+
+@pytest.mark.parametrize("a,r", [(0.05, 0.05), (0.5, 0.5), (1.0, 0.9), (0.0, 0.0)])
+def test_net_from_sums_matches_coordinate_descent(spark, data, a, r):
+    X, y, df = data
+    names = ["x0", "x1", "x2", "x3"]
+    rows = df.select("label", G.sparse_features(names).alias("features")).repartition(3)
+    got = {x.feature: x.coefficient for x in G.fit(rows, {"m": MD.ElasticNet(a, r, 20_000, 1e-13)}).collect()}
+    b0, w = _coordinate_descent(X, y, a, r)
+    assert got.pop(G.INTERCEPT) == pytest.approx(b0, abs=1e-8)
+    assert [got[n] for n in names] == pytest.approx(list(w), abs=1e-8)
+
+
+def test_many_models_and_penalties_from_one_pass(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for m in range(30):
+        x = rng.integers(0, 3, (40, 3))
+        rows += [(f"m{m}", float(2 + m * r[0] - r[1] + rng.normal()), [(n, float(v)) for n, v in zip("abc", r) if v]) for r in x]
+    rows += [("m0", None, [("a", 1.0)]), ("lone", 5.0, []), ("m1", 1.0, [])]
+    df = spark.createDataFrame(rows, "model string, label double, features array<struct<feature:string,value:double>>")
+    nets = {"p": MD.ElasticNet(0.01, 0.5, 20_000, 1e-13), "q": MD.ElasticNet(0.5, 0.1, 20_000, 1e-13)}
+    got = {}
+    for x in G.fit(df, nets, model="model").collect():
+        got.setdefault(x.model, {})[x.feature] = x.coefficient
+    assert len(got) == 2 * 31 and got["lone/p"] == {G.INTERCEPT: 5.0}
+    for m in (0, 1, 17):
+        mine = [(dict(f), y) for k, y, f in rows if k == f"m{m}" and y is not None]
+        X = np.array([[f.get(n, 0.0) for n in "abc"] for f, _ in mine])
+        for name, p in nets.items():
+            b0, w = _coordinate_descent(X, np.array([y for _, y in mine]), p.alpha, p.l1_ratio)
+            mine_got = got[f"m{m}/{name}"]
+            assert [mine_got[G.INTERCEPT], *(mine_got[n] for n in "abc")] == pytest.approx([b0, *w], abs=1e-7)
+    # One aggregation whatever the number of models and penalties; partial before the shuffle.
+    plan = G.gram(df, model="model")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_sum" in plan
+
+
+def test_too_many_features_is_an_error(spark):
+    df = spark.createDataFrame([(1.0, [(f"f{i}", 1.0) for i in range(12)])], "label double, features array<struct<feature:string,value:double>>")
+    with pytest.raises(Exception, match="12 features, more than 10"):
+        G.solve(G.gram(df), {"p": MD.ElasticNet()}, max_features=10).collect()
+
+
+def test_long_features_gather_to_rows(spark):
+    from abx.operators.features import one_hot_long
+    df = spark.createDataFrame([("a", "x y", "u"), ("b", None, "v (w)"), ("c", None, None)], "listing_id string, k string, l string")
+    got = {r.listing_id: sorted(map(tuple, r.features)) for r in G.gather_features(one_hot_long(df, "listing_id", ["k", "l"]), ["listing_id"]).collect()}
+    direct = {r.listing_id: sorted(map(tuple, r.f)) for r in df.select("listing_id", G.sparse_features([], ["k", "l"]).alias("f")).collect()}
+    assert got == {"a": [("k_xy", 1.0), ("l_u", 1.0)], "b": [("l_v-w", 1.0)]}
+    assert direct == {**got, "c": []}
+
+
+def test_score_and_rejects_by_table(spark):
+    rows = [(1, "m", [("x", 2.0)]), (2, "n", [("x", 2.0), ("new", 9.0)]), (3, "other", [("x", 1.0)]), (4, None, []), (5, "m", []), (6, "n", [])]
+    df = spark.createDataFrame(rows, "id long, model string, features array<struct<feature:string,value:double>>")
+    coefs = spark.createDataFrame([("m", G.INTERCEPT, 1.0), ("m", "x", 10.0), ("n", G.INTERCEPT, -1.0), ("n", "x", 0.5)], G.COEFFICIENTS)
+    got = {r.id: r.prediction for r in G.score(df, coefs, ["id"], "model").collect()}
+    assert got == {1: 21.0, 2: 0.0, 5: 1.0, 6: -1.0}
+    assert sorted(r.id for r in G.rejects(df, coefs, "model").collect()) == [3, 4]
+
+
+def test_optimality_finds_a_wrong_coefficient(spark, data):
+    _, _, df = data
+    features = df.select("label", G.sparse_features(["x0", "x1", "x2", "x3"])).collect()
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(features)], SPARSE)
+    nets = {"a": MD.ElasticNet(0.5, 0.9, 20_000, 1e-13), "b": MD.ElasticNet(0.05, 0.05, 20_000, 1e-13)}
+    models = G.fit(rows, nets)
+    good = G.optimality(rows, models, nets, ["id"]).collect()
+    assert len(good) == 10 and max(r.violation for r in good) < 1e-8
+    bent = models.withColumn("coefficient", F.col("coefficient") + F.when(F.col("feature") == "x1", 0.01).otherwise(0.0))
+    bad = {(r.model, r.feature): r.violation for r in G.optimality(rows, bent, nets, ["id"]).collect()}
+    assert bad["a", "x1"] > 0.01 and bad["b", "x1"] > 0.01
+
+
+def test_metrics_by_model(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.5), ("a", 2.0, 1.0), ("a", 3.0, 3.5), ("b", 4.0, 4.0)], "model string, label double, prediction double")
+    got = {r.model: r for r in G.metrics_by_model(df).collect()}
+    y, p = np.array([1.0, 2.0, 3.0]), np.array([1.5, 1.0, 3.5])
+    assert got["a"].rmse == pytest.approx(np.sqrt(np.mean((y - p) ** 2))) and got["a"].n == 3
+    assert got["a"].r2 == pytest.approx(1 - np.sum((y - p) ** 2) / np.sum((y - y.mean()) ** 2)) and got["b"].r2 is None

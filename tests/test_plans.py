@@ -11,8 +11,8 @@ from abx.plans.queries import QUERIES
 
 from conftest import SF001
 
-SKIP_PLANNING = {"stream_user_day_metrics", "stream_assign", "price_model", "price_model_metrics",
-                 "score_by_group", "user_key_unique", "listing_features"}  # these execute jobs while being built
+SKIP_PLANNING = {"stream_user_day_metrics", "stream_assign", "price_model_optimality", "price_model_metrics",
+                 "score_by_group", "score_metrics", "score_rejects", "user_key_unique", "listing_features"}  # these execute jobs while being built
 
 
 @pytest.fixture(scope="module")
