@@ -49,17 +49,20 @@ def user_day_filled(user_days: DataFrame, assignments: DataFrame, experiments: D
                     columns: Sequence[str] = ("total_events", "total_purchase_amount")) -> DataFrame:
     """Every assigned user on every day of its experiment, zeros where inactive.
 
-    The calendar is generated per assignment row from the experiment's own dates
-    (``explode(sequence)``), then the activity is left-joined on (user_id, date).
+    A user's active days are gathered into one array (as long as the calendar at most), which meets the user's
+    assignments; the days without activity are made in place. So users and active
+    days move, never users x days, and nothing moves where both sides are stored by user.
     """
-    cal = (assignments.select("user_id", "experiment_id", "group")
-           .join(F.broadcast(experiments.select("experiment_id", "start_date", "end_date")), "experiment_id")
-           .select("experiment_id", "user_id", "group",
-                   F.explode(F.sequence("start_date", "end_date")).alias("date")))
-    act = user_days.select("user_id", "date", *columns)
-    out = cal.join(act, ["user_id", "date"], "left")
-    return out.select("experiment_id", "user_id", "group", "date",
-                      *[F.coalesce(F.col(c), F.lit(0).cast(act.schema[c].dataType)).alias(c) for c in columns])
+    zero = {c: F.lit(0).cast(user_days.schema[c].dataType) for c in columns}
+    active = user_days.groupBy("user_id").agg(
+        F.collect_list(F.struct("date", *[F.coalesce(F.col(c), zero[c]).alias(c) for c in columns])).alias("_active"))
+    x = (assignments.select("user_id", "experiment_id", "group")
+         .join(F.broadcast(experiments.select("experiment_id", "start_date", "end_date")), "experiment_id")
+         .join(active, "user_id", "left"))
+    inside = F.coalesce(F.filter("_active", lambda a: a["date"].between(F.col("start_date"), F.col("end_date"))), F.array())
+    idle = F.array_except(F.sequence("start_date", "end_date"), F.transform(inside, lambda a: a["date"]))
+    days = F.concat(inside, F.transform(idle, lambda d: F.struct(d.alias("date"), *[zero[c].alias(c) for c in columns])))
+    return x.select("experiment_id", "user_id", "group", F.inline(days))
 
 
 def group_counts(assignments: DataFrame) -> DataFrame:

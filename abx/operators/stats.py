@@ -13,11 +13,13 @@ from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abx.functions.columns import TWO_POW_32
 from abx.functions.tails import chi2_1df_sf, normal_sf2, student_sf2
 from abx.operators.metrics import CONTROL, TREATMENT, conditional_moments, merge_zeros
 from abx.operators.windows import complete_days, group_calendar
+from abx.sources.tables import rows_to_frame
 
 
 # ---------------------------------------------------------------- sample ratio
@@ -274,6 +276,9 @@ def sample_progress(exposed: DataFrame, experiments: DataFrame, assignments: Dat
     return daily.select("experiment_id", "group", "date", "new_users", "users_so_far", "required_per_group", "reached")
 
 
+PAIRS = T.StructType([T.StructField("experiment_a", T.StringType()), T.StructField("experiment_b", T.StringType())])
+
+
 def experiment_overlap(assignments: DataFrame, experiment_ids: Sequence[str]) -> DataFrame:
     """Interference check between experiments: for each pair (a < b), the 2x2
     table of groups among users in both, and a chi-square test of independence.
@@ -297,8 +302,7 @@ def experiment_overlap(assignments: DataFrame, experiment_ids: Sequence[str]) ->
         F.count_if((gx == CONTROL) & (gy == TREATMENT)).alias("n_ct"),
         F.count_if((gx == TREATMENT) & (gy == CONTROL)).alias("n_tc"),
         F.count_if((gx == TREATMENT) & (gy == TREATMENT)).alias("n_tt"))
-    every = spark.createDataFrame([(a, b) for i, a in enumerate(ids) for b in ids[i + 1:]],
-                                  "experiment_a string, experiment_b string")
+    every = rows_to_frame(spark, [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:]], PAIRS)
     x = complete_days(seen, every, ["n_cc", "n_ct", "n_tc", "n_tt"])
     a_, b_, c_, d_ = (F.col(n).cast("double") for n in ("n_cc", "n_ct", "n_tc", "n_tt"))
     n = a_ + b_ + c_ + d_

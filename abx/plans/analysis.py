@@ -21,8 +21,9 @@ from abx.operators import metrics as M
 from abx.operators import rates as R
 from abx.operators import stats as S
 from abx.operators import windows as W
-from abx.operators.sessions import user_day_duration
+from abx.operators.sessions import day_summaries, finish_days
 from abx.session import scratch_path
+from abx.sources import sinks
 from abx.sources.tables import experiments_frame
 
 
@@ -87,11 +88,23 @@ class ExperimentAnalysis:
     def materialize(self) -> "ExperimentAnalysis":
         """Write exposed user-days to the checkpoint folder and read them back."""
         path = scratch_path(self.spark, "exposed")
+        schema = self.exposed.schema
         # Rebalanced by experiment: large experiments get many tasks, and no task writes a
         # file for each experiment.
         (self.exposed.hint("rebalance", "experiment_id").write.mode("overwrite")
          .partitionBy("experiment_id").parquet(path))
-        self._exposed = self.spark.read.parquet(path)
+        # With its schema: the folder names of experiment ids would be read as numbers or dates.
+        self._exposed = self.spark.read.schema(schema).parquet(path).select(*schema.names)
+        return self
+
+    def store(self, database: str, buckets: int) -> "ExperimentAnalysis":
+        """Write user-days and assignments as tables bucketed by user and go on from them: the
+        exposure join, the zero-filled table and every fold by user then move no row of either."""
+        for name, frame in (("user_days", self.user_days), ("assignments_by_user", self.assignments)):
+            sinks.write_bucketed(frame, f"{database}.{name}", "user_id", buckets)
+        self.user_days = self.spark.table(f"{database}.user_days")
+        self.assignments = self.spark.table(f"{database}.assignments_by_user")
+        self._exposed = None
         return self
 
     # ------------------------------------------------------------ results
@@ -156,15 +169,26 @@ class ExperimentAnalysis:
     def active_rate_ztest(self) -> DataFrame:
         return S.active_rate_ztest(self.exposed, self.assignments, self.experiments_df)
 
+    @cached_property
+    def span(self) -> tuple[dt.date, dt.date]:
+        """First and last day of all experiments' periods."""
+        return (min(e.start_date - dt.timedelta(days=e.pre_days) for e in self.experiments), max(e.end_date for e in self.experiments))
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        """Active days of each user, one row a user: the log is folded to it before anything is joined."""
+        return R.activity_bits(self.log.select("user_id", F.to_date("event_time").alias("date")), *self.span)
+
     def active_rate(self, periods=R.PERIODS) -> DataFrame:
-        return R.active_rate(self.exposed, self.assignments, self.calendar, periods)
+        return R.active_rate(self.activity, self.assignments, R.period_bits(self.spark, self.experiments, *self.span, periods))
 
     def average_duration(self, periods=R.PERIODS, gap_seconds: int = 1800) -> DataFrame:
-        return R.average_duration(self.duration_days(gap_seconds), self.assignments, self.calendar, periods)
+        return R.average_duration(self.duration_days(gap_seconds), self.assignments,
+                                  R.period_bits(self.spark, self.experiments, *self.span, periods))
 
     def duration_days(self, gap_seconds: int = 1800) -> DataFrame:
         """Sessions and engaged microseconds per (experiment, group, user, date of session start)."""
-        days = user_day_duration(self.log, gap_seconds)
+        days = finish_days(day_summaries(self.log, gap_seconds), gap_seconds)
         return self.in_period(days.join(self.assignments.select("user_id", "experiment_id", "group"), "user_id"))
 
     def duration_ttest(self, gap_seconds: int = 1800) -> DataFrame:

@@ -4,9 +4,8 @@
 
 The exposed user-days are written once under the checkpoint folder (lineage
 cut, so lost executors do not re-read the log), then every result reads that
-compact table. Tables are partitioned by experiment_id and written with
-dynamic partition overwrite: re-running some experiments replaces only
-their partitions.
+compact table. Tables are partitioned by experiment_id: running some experiments
+again replaces their partitions wholly, emptied where nothing came out, and no others.
 """
 
 from __future__ import annotations
@@ -43,15 +42,18 @@ def results(a: ExperimentAnalysis) -> dict:
 
 
 def run(spark: SparkSession, log, users, experiments: Sequence[Experiment], database: str,
-        names: Sequence[str] = RESULTS, materialize: bool = True) -> list[str]:
+        names: Sequence[str] = RESULTS, materialize: bool = True, buckets: int | None = None) -> list[str]:
+    """Write the results named. With ``buckets``, user-days and assignments are stored as tables bucketed by user."""
     catalog.create_database(spark, database)
     a = ExperimentAnalysis(spark, log, users, experiments)
+    if buckets:
+        a.store(database, buckets)
     if materialize:
         a.materialize()
     out = results(a)
     written = []
     for name in names:
-        sinks.replace_partitions(out[name], f"{database}.{name}", ["experiment_id"])
+        sinks.replace_partitions(out[name], f"{database}.{name}", ["experiment_id"], [e.experiment_id for e in experiments])
         written.append(f"{database}.{name}")
     return written
 
@@ -77,11 +79,12 @@ def main(argv=None) -> None:
     p.add_argument("--users", required=True, help="table or parquet path: user_id plus columns used by population predicates")
     p.add_argument("--experiments", required=True, help="JSON list of experiment parameters")
     p.add_argument("--database", required=True)
+    p.add_argument("--buckets", type=int, help="store user-days and assignments bucketed by user, in so many buckets")
     args = p.parse_args(argv)
     from abx.session import build_session
     spark = build_session()
     run(spark, load(spark, args.log, USERLOG), load(spark, args.users),
-        load_experiments(args.experiments), args.database)
+        load_experiments(args.experiments), args.database, buckets=args.buckets)
 
 
 if __name__ == "__main__":

@@ -492,6 +492,22 @@ Q["stream_assign"] = BASE + """
 SELECT a.user_id, a."group", a.experiment_id, a.experiment_ratio
 FROM assignments a WHERE a.user_id IN (SELECT user_id FROM events)"""
 
+Q["stream_distinct_listings"] = BASE + """
+SELECT user_id, count(*)::BIGINT AS total_events, count(DISTINCT listing_id)::BIGINT AS distinct_listings
+FROM userlog WHERE CAST(event_time AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY user_id"""
+
+Q["duration_increments"] = BASE + _SESSIONS.rstrip().rstrip(",") + f"""
+SELECT user_id, {D('date')} AS date, sessions::BIGINT AS sessions, duration_us::BIGINT AS duration_us FROM ud"""
+
+Q["daily_log_counts"] = BASE + f"""
+, d AS (SELECT CAST(event_time AS DATE) AS date, count(*)::BIGINT AS events, count(DISTINCT user_id)::BIGINT AS users FROM userlog GROUP BY ALL)
+SELECT {D('d.date')} AS date, events, users FROM d JOIN experiments e ON e.experiment_id = 'exp1' AND d.date BETWEEN e.start_date AND e.end_date"""
+
+Q["activity_increments"] = BASE + """
+SELECT user_id, count(DISTINCT CAST(event_time AS DATE))::INTEGER AS active_days FROM userlog
+WHERE event_time >= (SELECT min(start_date - pre_days) FROM experiments) AND event_time < (SELECT max(end_date) + 1 FROM experiments)
+GROUP BY user_id"""
+
 # ------------------------------------------------------------------ models
 
 _I, _Y = "(intercept)", "(label)"

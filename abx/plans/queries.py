@@ -366,12 +366,62 @@ def q_stream_user_day_metrics(spark, sf_dir):
 
 
 
+def q_stream_distinct_listings(spark, sf_dir):
+    """Distinct listings of each user over all closed days, from sketches made on the stream day by day."""
+    from abx.streaming import stream as ST
+    log = ST.stream_userlog(spark, sf_dir)
+    days = ST.run_available(ST.stream_listing_sketches(log, watermark=STREAM_WATERMARK), "sketches")
+    return ST.merge_sketches(days, ["user_id"]).select("user_id", "total_events", "distinct_listings")
+
+
 def q_stream_assign(spark, sf_dir):
-    """Groups of active users as assigned on the stream (must equal batch)."""
+    """Groups of active users as assigned on the stream (must equal batch), one row each in the sink."""
     from abx.streaming import stream as ST
     log = ST.stream_userlog(spark, sf_dir)
-    out = ST.run_available(ST.stream_exposures(log, FX.users(spark, sf_dir), FIXTURE_EXPERIMENTS), "assign")
-    return out.distinct()
+    return ST.run_available(ST.stream_exposures(log, FX.users(spark, sf_dir), FIXTURE_EXPERIMENTS), "assign")
+
+
+# ------------------------------------------------------------------ increments
+
+#: A moment inside a day, at which the log is cut into two stretches.
+CUT = "2024-01-16 13:20:00"
+
+
+def _stretches(spark, sf_dir):
+    log = FX.userlog(spark, sf_dir)
+    cut = F.lit(CUT).cast("timestamp_ntz")
+    return log.where(F.col("event_time") < cut), log.where(F.col("event_time") >= cut)
+
+
+def q_daily_log_counts(spark, sf_dir):
+    """Events and users per treatment day of exp1, from the log stored by day and the stored experiment table."""
+    from abx.schemas import USERLOG
+    from abx.session import scratch_path
+    from abx.sources import daily
+    path = scratch_path(spark, "daily-log")
+    daily.write_daily(FX.userlog(spark, sf_dir), path)
+    experiments = kept(analysis(spark, sf_dir).experiments_df, "experiments").where("experiment_id = 'exp1'")
+    log = daily.read_daily(spark, path, USERLOG, experiments, pre=False)
+    return present(log.groupBy(F.to_date("event_time").alias("date")).agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users")))
+
+
+def q_duration_increments(spark, sf_dir):
+    """Sessions and engaged time per user and day, from summaries of two stretches of the log, each
+    stored by itself; sessions that span the cut are whole."""
+    from abx.operators import sessions as SE
+    early, late = (kept(SE.day_summaries(part), "session-days") for part in _stretches(spark, sf_dir))
+    return present(SE.finish_days(early.unionByName(late)))
+
+
+def q_activity_increments(spark, sf_dir):
+    """Active days per user, from the bits of two stretches of the log, merged."""
+    from abx.operators import rates as R
+    first, last = analysis(spark, sf_dir).span
+    early, late = (kept(R.activity_bits(part.select("user_id", F.to_date("event_time").alias("date")), first, last), "bits")
+                   for part in _stretches(spark, sf_dir))
+    bits = R.merge_bits(early.unionByName(late), R.words(first, last))
+    return bits.select("user_id", F.aggregate("days", F.lit(0), lambda n, w: n + F.bit_count(w)).alias("active_days"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -419,5 +469,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_metrics": q_score_metrics,
     "score_rejects": q_score_rejects,
     "stream_user_day_metrics": q_stream_user_day_metrics,
+    "stream_distinct_listings": q_stream_distinct_listings,
     "stream_assign": q_stream_assign,
+    "daily_log_counts": q_daily_log_counts,
+    "duration_increments": q_duration_increments,
+    "activity_increments": q_activity_increments,
 }

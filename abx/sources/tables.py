@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from abx.config import Experiment
 from abx.schemas import EXPERIMENTS
@@ -33,8 +35,13 @@ def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = N
 
 
 def rows_to_frame(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType) -> DataFrame:
-    """Small parameter rows to a frame, with declared types (never data-sized input)."""
-    return spark.createDataFrame(list(rows), schema)
+    """Small parameter rows to a frame, with declared types (never data-sized input).
+
+    They become a local relation of the plan: its size is known, and no job reads it."""
+    rows = list(rows)
+    kinds = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(kinds)]
+    return spark.createDataFrame(pa.table(columns, schema=kinds), schema)
 
 
 def experiments_frame(spark: SparkSession, experiments: Sequence[Experiment]) -> DataFrame:

@@ -7,13 +7,15 @@
   append mode. Distinct listings stay exact: a first stateful aggregation per
   (window, user, listing) feeds a second per (window, user); a day is emitted
   once the watermark passes its end, and events later than that are dropped.
-* ``stream_exposures``: the hash assignment as a column on the stream (a
-  stream-static join with the user table for eligibility), so a user gets the
-  same group as in batch.
+* ``stream_listing_sketches``: the same days with distinct listings as mergeable
+  sketches, in one stateful aggregation.
+* ``stream_exposures``: the hash assignment on the stream (a stream-static join with
+  the user table for eligibility), so a user gets the same group as in batch, and once.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,10 +85,36 @@ def stream_user_day_metrics(log: DataFrame, activities: Sequence[str] = DEFAULT_
 
 
 def stream_exposures(log: DataFrame, users: DataFrame, experiments: Sequence[Experiment]) -> DataFrame:
-    """Per event: one row per experiment its user is in, with the user's group
-    (user_id, group, experiment_id, experiment_ratio)."""
-    ev = log.select("user_id").join(users, "user_id")
-    return assign(ev, experiments)
+    """One row per user and experiment, at the user's first event: (user_id, group,
+    experiment_id, experiment_ratio).
+
+    Users are told apart in state, a row each, before the join and the fan-out over experiments; a row
+    is kept for the experiments' whole span, so that a user who returns is not sent again.
+    """
+    first = min(e.start_date - dt.timedelta(days=e.pre_days) for e in experiments)
+    days = (max(e.end_date for e in experiments) - first).days + 1
+    seen = (log.where(F.col("user_id").isNotNull()).select("user_id", "event_time")
+            .withWatermark("event_time", f"{days} days").dropDuplicatesWithinWatermark(["user_id"]))
+    return assign(seen.select("user_id").join(users, "user_id"), experiments)
+
+
+def stream_listing_sketches(log: DataFrame, watermark: str = "1 hour", lg_k: int = 12) -> DataFrame:
+    """Per (user_id, date): events, and a sketch of the distinct listings (HyperLogLog, 2^lg_k
+    registers: a relative error of about 1.04 / 2^(lg_k / 2), and none to speak of for a few hundred).
+
+    One stateful aggregation with a row per day and user, whose size does not follow the number of
+    listings. Stored sketches merge over days and users (``merge_sketches``).
+    """
+    return (log.withWatermark("event_time", watermark)
+            .groupBy(F.window("event_time", "1 day").alias("window"), "user_id")
+            .agg(F.hll_sketch_agg("listing_id", F.lit(lg_k)).alias("listings"), F.count(F.lit(1)).alias("total_events"))
+            .select("user_id", F.to_date(F.col("window.start")).alias("date"), "listings", "total_events"))
+
+
+def merge_sketches(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored sketches united per ``keys``, with the estimate of their distinct listings."""
+    return (rows.groupBy(*keys).agg(F.hll_union_agg("listings").alias("listings"), F.sum("total_events").alias("total_events"))
+            .withColumn("distinct_listings", F.hll_sketch_estimate("listings")))
 
 
 def run_available(df: DataFrame, name: str, output_mode: str = "append",

@@ -11,7 +11,7 @@ from abx.plans.queries import QUERIES
 
 from conftest import SF001
 
-SKIP_PLANNING = {"stream_user_day_metrics", "stream_assign", "price_model_optimality", "price_model_metrics",
+SKIP_PLANNING = {"stream_user_day_metrics", "stream_assign", "stream_distinct_listings", "daily_log_counts", "duration_increments", "activity_increments", "price_model_optimality", "price_model_metrics",
                  "score_by_group", "score_metrics", "score_rejects", "user_key_unique", "listing_features"}  # these execute jobs while being built
 
 
@@ -50,6 +50,11 @@ def test_no_nested_loop_or_cartesian(plans):
         assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, name
 
 
+def test_parameters_are_local_relations(plans):
+    for name, p in plans.items():
+        assert "ExistingRDD" not in p, name
+
+
 def test_no_row_at_a_time_python(plans):
     for name, p in plans.items():
         assert "BatchEvalPython" not in p, name
@@ -102,3 +107,40 @@ def test_overlap_plan_does_not_grow(spark):
     size = [len(experiment_overlap(a, [f"e{i}" for i in range(n)])._jdf.queryExecution().optimizedPlan().toString().splitlines())
             for n in (5, 50)]
     assert size[0] == size[1]
+
+
+@pytest.fixture()
+def static(spark):
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_tables_bucketed_by_user_join_without_exchange(spark, static):
+    from abx.plans.queries import analysis
+    from abx.sources import catalog
+    catalog.create_database(spark, "abx_stored")
+    plain, stored = analysis(spark, SF001), analysis(spark, SF001).store("abx_stored", 4)
+    for name in ("exposed", "user_day_filled"):
+        frames = [getattr(a, name) for a in (plain, stored)]
+        frames = [f() if callable(f) else f for f in frames]
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in frames]
+        assert "Exchange hashpartitioning" in plans[0] and "SortMergeJoin" in plans[1]
+        assert "Exchange hashpartitioning" not in plans[1], name
+        from abx.functions.columns import round6
+        cols = [round6(c).alias(c) if c == "total_purchase_amount" else c for c in frames[0].columns]
+        a, b = (f.select(*cols) for f in frames)
+        assert a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
+    catalog.create_database(spark, "abx_stored", drop_first=True)
+
+
+def test_filled_table_moves_no_user_days(spark, static):
+    from abx.plans.queries import analysis
+    plan = analysis(spark, SF001).user_day_filled()._jdf.queryExecution().executedPlan().toString()
+    above_join = plan[:plan.index("SortMergeJoin")]
+    assert "inline" in above_join and "Exchange" not in above_join     # days are made after the last shuffle
+    assert "hashpartitioning(user_id" in plan and "sequence" not in plan[plan.index("SortMergeJoin"):]

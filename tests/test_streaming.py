@@ -30,7 +30,7 @@ def test_stream_equals_batch_for_closed_days(spark):
 
 def test_stream_assignment_equals_batch(spark):
     log = ST.stream_userlog(spark, SF001)
-    s = ST.run_available(ST.stream_exposures(log, FX.users(spark, SF001), FIXTURE_EXPERIMENTS), "t-as").distinct()
+    s = ST.run_available(ST.stream_exposures(log, FX.users(spark, SF001), FIXTURE_EXPERIMENTS), "t-as")
     b = assign(FX.users(spark, SF001), FIXTURE_EXPERIMENTS).join(
         FX.userlog(spark, SF001).select("user_id").distinct(), "user_id")
     assert s.exceptAll(b.select(*s.columns)).count() == 0 and b.select(*s.columns).exceptAll(s).count() == 0
@@ -71,3 +71,43 @@ def test_stream_of_user_log_files(spark, scratch):
     rows = [(u, "1", dt.datetime(2024, 1, 1 + u % 2, 3), "view", None) for u in range(10)]
     spark.createDataFrame(rows, USERLOG_STREAM).write.parquet(f"{scratch}/log")
     assert run_available(stream_log(spark, f"{scratch}/log"), "plain").count() == 10
+
+
+def test_exposure_sink_holds_a_user_and_experiment_once(spark):
+    log = ST.stream_userlog(spark, SF001)
+    sink = ST.run_available(ST.stream_exposures(log, FX.users(spark, SF001), FIXTURE_EXPERIMENTS), "t-once")
+    assert sink.count() == sink.select("user_id", "experiment_id").distinct().count() > 0
+
+
+def _state_rows(df, scratch, name):
+    q = (df.writeStream.format("parquet").option("path", f"{scratch}/{name}").option("checkpointLocation", f"{scratch}/{name}-ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None
+    return max(op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"])
+
+
+def test_sketch_state_does_not_follow_listings(spark, scratch):
+    from abx.schemas import USERLOG_STREAM
+    rows_of = {}
+    for listings in (3, 3000):
+        rows = [(u, str(k), dt.datetime(2024, 1, 1 + d, 5), "view", None) for u in range(2) for d in range(2) for k in range(listings)]
+        spark.createDataFrame(rows, USERLOG_STREAM).write.parquet(f"{scratch}/log{listings}")
+        log = ST.stream_log(spark, f"{scratch}/log{listings}")
+        rows_of[listings] = _state_rows(ST.stream_listing_sketches(log), scratch, f"s{listings}")
+        exact = _state_rows(ST.stream_user_day_metrics(log), scratch, f"e{listings}")
+        assert exact >= 2 * listings
+    assert rows_of[3] == rows_of[3000] == 4
+
+
+@pytest.mark.parametrize("lg_k", [8, 12])
+def test_sketches_merge_within_their_error(spark, lg_k):
+    # Days that share half of their listings, merged: the union is counted, not the sum.
+    n = 20_000
+    days = [spark.range(d * n // 2, d * n // 2 + n).select(F.lit(1).alias("user_id"), F.lit(d).alias("date"), F.col("id").cast("string").alias("listing_id"))
+            for d in range(4)]
+    rows = days[0].unionByName(days[1]).unionByName(days[2]).unionByName(days[3])
+    stored = rows.groupBy("user_id", "date").agg(F.hll_sketch_agg("listing_id", F.lit(lg_k)).alias("listings"), F.count(F.lit(1)).alias("total_events"))
+    got = ST.merge_sketches(stored, ["user_id"]).first()
+    exact = n + 3 * n // 2
+    assert abs(got.distinct_listings - exact) <= 3 * 1.04 / 2 ** (lg_k / 2) * exact and got.total_events == 4 * n
