@@ -125,6 +125,14 @@ def holds_value(kind: int, s: str) -> bool:
     return 9 <= len(digits) <= 15 and len(digits) < len(s)
 
 
+_MARK = re.compile(r"[0-9@]|[(\[{]at[)\]}]", re.I)
+
+
+def marks(text: str) -> np.ndarray:
+    """Places of digits, of @ and of what stands for it: every span that ``holds_value`` has one."""
+    return np.array([m.start() for m in _MARK.finditer(text)], np.int64)
+
+
 def valued_parts(kind: int, s: str) -> Iterator[tuple[int, int]]:
     """The whole of a proposed span if it holds a value of its kind, else the longest of its parts that
     do, from the left: two numbers side by side may be proposed as one. A part begins and ends with a
@@ -256,12 +264,12 @@ def fit(labelled: DataFrame, text_col: str = "text", spans_col: str | None = Non
         return tagger.Tagger(KINDS, settings, {k: weights[k] for k in weights.files})
 
 
-def spans_of(texts: list[str], model: tagger.Tagger | None) -> list[tuple[list, list]]:
-    """Base spans and added spans of each text."""
+def spans_of(texts: list[str], model: tagger.Tagger | None, everywhere: bool = False) -> list[tuple[list, list]]:
+    """Base spans and added spans of each text. ``everywhere``: score also the windows that can add none."""
     base = [base_spans(t)[0] for t in texts]
     added: list[list] = [[] for _ in texts]
     if model:
-        for i, spans in enumerate(tagger.tag(model, texts)):
+        for i, spans in enumerate(tagger.tag(model, texts, None if everywhere else marks)):
             text, taken = texts[i], [(a, b) for _, a, b in base[i]]
             for kind, start, end in spans:
                 if (kind, start, end) in base[i]:
@@ -283,6 +291,9 @@ def find(docs: DataFrame, model: tagger.Tagger | None, id_col: str = "doc_id", t
     kind and touch no letter or digit. Null and
     empty texts have none; without a model nothing is added. Repeated rows and null ids
     are rows like any other; an empty table gives an empty result. Other columns are not read.
+
+    The model scores the windows that hold a digit, @ or a bracketed "at", and their neighbours: no
+    span without one of these holds a value.
     """
     spark = docs.sparkSession
     small_batches(spark)

@@ -8,7 +8,7 @@ length, so that none is padded.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -339,12 +339,26 @@ def reconcile(found: list[tuple[int, int, int, int, bool, bool]]) -> list[tuple[
     return sorted(taken, key=lambda s: (s[1], s[0]))
 
 
-def tag(t: Tagger, texts: list[str], together: int = 1024) -> list[list[tuple[int, int, int]]]:
-    """Spans (kind number, start, end) that the model sees in each whole text."""
+def tag(t: Tagger, texts: list[str], marks: Callable[[str], np.ndarray] | None = None, together: int = 512
+        ) -> list[list[tuple[int, int, int]]]:
+    """Spans (kind number, start, end) that the model sees in each whole text. ``marks`` gives the
+    places in a text of which a span must hold one to be of use: windows that hold none,
+    and have no neighbour that does, are not scored."""
     window, overlap = t.settings.window, t.settings.overlap
     found: list[list] = [[] for _ in texts]
-    codes = [char_classes(x) for x in texts]
-    places = [(i, a) for i, x in enumerate(codes) for a in window_starts(len(x), window, overlap)]
+    codes: dict[int, np.ndarray] = {}
+    places = []
+    for i, text in enumerate(texts):
+        starts = np.array(window_starts(len(text), window, overlap), np.int64)
+        if marks and len(starts):
+            at = marks(text)
+            held = np.searchsorted(at, starts + window) > np.searchsorted(at, starts)
+            held[1:] |= (own := held.copy())[:-1]
+            held[:-1] |= own[1:]
+            starts = starts[held]
+        if len(starts):
+            codes[i] = char_classes(text)
+            places.extend((i, int(a)) for a in starts)
     places.sort(key=lambda p: (-min(window, len(codes[p[0]]) - p[1]), p))
     for lo in range(0, len(places), together):
         group = places[lo:lo + together]

@@ -187,6 +187,15 @@ def test_model_adds_what_the_patterns_give_up_on(trained):
     assert not any(added for _, added in pii.spans_of([words(rng, 300) for _ in range(30)], trained))
 
 
+def test_windows_without_a_mark_add_nothing(trained):
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice([words(rng, 60), words(rng, 200), datum(rng, rng.randrange(4)), datum(rng, 2) + " " + datum(rng, 2), "a (at) b.cc", "é(AT)x[.]yy"])
+                      for _ in range(rng.randrange(1, 12))) for _ in range(150)]
+    assert pii.spans_of(texts, trained) == pii.spans_of(texts, trained, everywhere=True)
+    for kind, s in itertools.product(range(4), ["", " ", "abc", "a.b", "(at", "a at b.c", "+", "()-"]):
+        assert not pii.holds_value(kind, s) or len(pii.marks(s))
+
+
 def test_spans_do_not_depend_on_windows(trained):
     rng = random.Random(6)
     one = [(datum(rng, 2), datum(rng, 2), words(rng, 10)) for _ in range(40)]
