@@ -8,12 +8,12 @@ holds and summing them per document.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ from abx.llm.runtime import free_name, slices, small_batches
 
 ORDERS = (1, 2, 3)
 BLOCK = 1 << 19           # characters scored at once
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 RESULT = "struct<lang_pred:string,score:double>"
 
 
@@ -42,9 +42,9 @@ class Model:
     weights: np.ndarray     # (buckets + 1, languages); the last row is zero
 
 
-def ngram_rows(codes: np.ndarray, ends: np.ndarray, buckets: int) -> Iterator[np.ndarray]:
-    """For each order, the bucket of the n-gram that starts at each character; n-grams
-    that would run over the end of their text get the row ``buckets``."""
+def ngram_rows(codes: np.ndarray, ends: np.ndarray, carry: np.ndarray, buckets: int) -> Iterator[np.ndarray]:
+    """For each order, the bucket of the n-gram that starts at each character; n-grams that would run
+    over the end of their piece, or start in what it shows of the next one, get the row ``buckets``."""
     c = codes.astype(np.uint64)
     for n in ORDERS:
         h = np.full(len(c), 0x9E3779B97F4A7C15 * n & 0xFFFFFFFFFFFFFFFF, np.uint64)
@@ -54,23 +54,25 @@ def ngram_rows(codes: np.ndarray, ends: np.ndarray, buckets: int) -> Iterator[np
             h = (h ^ part) * np.uint64(0xFF51AFD7ED558CCD)
             h ^= h >> np.uint64(32)
         rows = (h % np.uint64(buckets)).astype(np.int32)
-        for k in range(1, n):
-            at = ends - k
+        for k in range(1, max(ORDERS)):
+            at = ends[(carry >= k) | (k < n)] - k
             rows[at[at >= 0]] = buckets
         yield rows
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of the texts, lower-cased, with a space at both ends of each; where each ends."""
-    padded = [f" {t.lower()} " for t in texts]
-    return (np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32),
-            np.cumsum([len(t) for t in padded]))
+def _codes(pieces: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the pieces, where each ends, and what each shows of the next one."""
+    return (np.frombuffer("".join(p for p, _ in pieces).encode("utf-32-le", "surrogatepass"), np.uint32),
+            np.cumsum([len(p) for p, _ in pieces]), np.array([c for _, c in pieces], np.int64))
 
 
-def _pieces(text: str) -> list[str]:
-    """A very long text in pieces of BLOCK characters, so that memory stays bounded. The
-    cuts depend on the text alone; a cut counts as a word boundary."""
-    return [text] if len(text) <= BLOCK else [text[i:i + BLOCK] for i in range(0, len(text), BLOCK)]
+def _pieces(text: str) -> list[tuple[str, int]]:
+    """A text, lower-cased and with a space at both ends, in pieces of BLOCK characters, so that memory stays
+    bounded. Each shows the characters of the next one that its last n-grams reach (their number beside
+    it), so every n-gram of the text counts once wherever the cuts fall."""
+    padded = f" {text.lower()} "
+    reach = max(ORDERS) - 1
+    return [(padded[i:i + BLOCK + reach], max(0, min(reach, len(padded) - i - BLOCK))) for i in range(0, len(padded), BLOCK)]
 
 
 def log_scores(texts: list[str], model: Model) -> np.ndarray:
@@ -78,11 +80,11 @@ def log_scores(texts: list[str], model: Model) -> np.ndarray:
     pieces = [(i, p) for i, t in enumerate(texts) for p in _pieces(t)]
     out = np.tile(model.prior, (len(texts), 1))
     buckets = len(model.weights) - 1
-    for a, b in slices([p for _, p in pieces], BLOCK):
-        codes, ends = _codes([p for _, p in pieces[a:b]])
+    for a, b in slices([p for _, (p, _) in pieces], BLOCK):
+        codes, ends, carry = _codes([p for _, p in pieces[a:b]])
         total = np.zeros((b - a, len(model.langs)))
         starts = np.concatenate(([0], ends[:-1]))
-        for rows in ngram_rows(codes, ends, buckets):
+        for rows in ngram_rows(codes, ends, carry, buckets):
             total += np.add.reduceat(model.weights[rows], starts, axis=0, dtype=np.float64)
         np.add.at(out, [i for i, _ in pieces[a:b]], total)
     return out
@@ -130,10 +132,10 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, settings
         for batch in batches:
             texts = [(p, at[x]) for t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                      for p in _pieces(t)]
-            for a, b in slices([t for t, _ in texts], BLOCK):
-                codes, ends = _codes([t for t, _ in texts[a:b]])
+            for a, b in slices([t for (t, _), _ in texts], BLOCK):
+                codes, ends, carry = _codes([t for t, _ in texts[a:b]])
                 lang = np.repeat(np.array([k for _, k in texts[a:b]], np.int64), np.diff(ends, prepend=0))
-                for grams in ngram_rows(codes, ends, buckets):
+                for grams in ngram_rows(codes, ends, carry, buckets):
                     sums += np.bincount(lang * (buckets + 1) + grams, minlength=sums.size).reshape(sums.shape)
         k, g = np.nonzero(sums[:, :buckets])
         for a in range(0, len(k), 1 << 16):

@@ -121,6 +121,37 @@ def test_language_edges(spark):
     assert langid.identify(df.where("false"), df).count() == 0
 
 
+def brute_language(text, model):
+    """Log joint scores, an n-gram at a time."""
+    padded, buckets, mask = f" {text.lower()} ", len(model.weights) - 1, (1 << 64) - 1
+    score = model.prior.astype(float).copy()
+    for n in langid.ORDERS:
+        for i in range(len(padded) - n + 1):
+            h = 0x9E3779B97F4A7C15 * n & mask
+            for c in padded[i:i + n]:
+                h = (h ^ ord(c)) * 0xFF51AFD7ED558CCD & mask
+                h ^= h >> 32
+            score += model.weights[h % buckets].astype(float)
+    return score
+
+
+def test_language_scores_equal_brute_force_wherever_texts_are_cut(monkeypatch):
+    rng = random.Random(6)
+    model = langid.Model(("a", "b", "c"), np.log([0.5, 0.3, 0.2]), np.random.default_rng(1).normal(size=(258, 3)).astype(np.float32) * 0.1)
+    model.weights[-1] = 0
+    texts = ["", "a", "ab", "İ", *("".join(rng.choice("abc dé\n😀ßΣ") for _ in range(rng.randrange(1, 90))) for _ in range(60))]
+    want = np.array([brute_language(t, model) for t in texts])
+    assert np.allclose(langid.log_scores(texts, model), want, atol=1e-6)
+    for block in (3, 7, 10, 64):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        assert np.allclose(langid.log_scores(texts, model), want, atol=1e-6)
+
+
+def test_language_letters():
+    model = langid.Model(("a",), np.zeros(1), np.zeros((129, 1), np.float32))
+    assert langid.predict(["² ½ 10", "٣", "Ⅳ", "ª", "漢", "é1", "_ "], model)[0] == ["und", "und", "und", "a", "a", "a", "und"]
+
+
 def test_language_result_does_not_depend_on_neighbours():
     model = langid.Model(("a", "b"), np.log([0.5, 0.5]), np.random.default_rng(0).normal(size=(129, 2)).astype(np.float32) * 0.01)
     model.weights[-1] = 0
@@ -268,7 +299,9 @@ def test_quality_counts(spark, docs):
 
 
 def test_quality_lines(spark):
-    prose = "\n".join(f"This is the plain sentence number {i} of a clean and honest text." for i in range(8))
+    # No two lines share eight words in a row: repeated windows fail a text by themselves.
+    prose = "\n".join(f"Line {w} tells of {w} roads, {w} rivers and {w} towns that honest people built." for w in
+                      ("one", "two", "three", "four", "five", "six", "seven", "eight"))
     nav = "\n".join("Home | About | News | Contact | Blog" for _ in range(3))
     rows = [(1, prose), (2, prose + "\nAll rights reserved.\n" + nav), (3, "\n".join(["red | blue | green | gold | pink"] * 2
             + [f"alpha{i} | beta{i} | gamma{i} | delta{i} | eps{i}" for i in range(12)]))]
@@ -418,6 +451,18 @@ def test_substring_rows_that_repeat_a_document(spark):
 
 # --- 9 token counts ---------------------------------------------------------
 
+def test_counts_by_units_in_small_chunks(library, monkeypatch):
+    monkeypatch.setattr(token_counts, "CHUNK", 48)
+    monkeypatch.setattr(token_counts, "OVERLAP", 16)
+    rng = random.Random(17)
+    parts = ["the", " the", "thing", "ß", "été", "12", " 3.5", "...", "\n", "  ", "\t", "\u2003", "\x1d", "'s", "'", "😀", "漢字", "<|endoftext|>", "x" * 90, "-" * 70,
+             "Å", "Ωmega", "a1b2", "\xa0"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(120))) for _ in range(400)]
+    want = [len(library.encode(t, add_special_tokens=False)) for t in texts]
+    assert sum(len(t) > 64 for t in texts) > 200
+    assert token_counts.count_texts(texts, PATH) == want
+
+
 def test_spliced_counts(library):
     encode = lambda s: library.encode(s, add_special_tokens=False)
     rng = random.Random(4)
