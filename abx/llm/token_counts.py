@@ -7,6 +7,10 @@ where white space follows something else, and where a run of letters ends,
 whatever stands further left or right. Where an overlap holds no such place, it
 is doubled, up to the rest of the text. An overlap is longer than any added token,
 so that of two neighbours one sees such a token whole.
+
+Texts and chunks are encoded by their units (``tokens``): the library encodes each
+distinct unit once and its token count is kept. A chunk knows its token boundaries at the
+ends of its units, which are stable places, and its tokens up to each.
 """
 
 from __future__ import annotations
@@ -15,15 +19,17 @@ import json
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abx.llm.runtime import slices, small_batches, worker_cache
+from abx.llm.tokens import ODD, UNIT, known_units, library_units
 
 CHUNK = 16_384      # characters
 OVERLAP = 256
-BATCH = 1 << 19     # characters encoded in one call of the library
+BATCH = 1 << 21     # characters whose units are looked up at once
 
 
 def load(path: str):
@@ -61,8 +67,25 @@ def stable_places(text: str, a: int, b: int) -> Iterator[int]:
             yield p
 
 
+class Counted:
+    """A text's tokens by its units: their number, and how many end with each unit."""
+
+    def __init__(self, units: list[str], counts: list[int]):
+        self.ends, self.upto = np.cumsum(list(map(len, units))), np.cumsum(counts)
+
+    def __len__(self) -> int:
+        return int(self.upto[-1]) if len(self.upto) else 0
+
+    def before(self, at: int) -> int | None:
+        """Tokens before character ``at``, if a unit ends there."""
+        k = int(np.searchsorted(self.ends, at))
+        return int(self.upto[k]) if k < len(self.ends) and self.ends[k] == at else None
+
+
 def _boundary(encoding, at: int) -> int | None:
     """The number of tokens before character ``at``, if a token starts there."""
+    if isinstance(encoding, Counted):
+        return encoding.before(at)
     k = encoding.char_to_token(at)
     if k is None or encoding.token_to_chars(k)[0] != at:
         return None
@@ -102,13 +125,26 @@ def count_texts(texts: list[str | None], path: str) -> list[int]:
     texts = [t or "" for t in texts]
     if kind == "sentencepiece":
         return [len(tokenizer.encode(t, num_threads=1)) for t in texts]
+    def whole(s: str):
+        return tokenizer.encode(s, add_special_tokens=False)
+
+    if not splice:
+        return [len(whole(t)) for t in texts]
+    coder, cache = library_units(tokenizer), worker_cache("counts-" + path)
+
+    def by_units(parts: list[str]) -> list:
+        """``Counted`` of each part, or the library's own encoding where units do not hold."""
+        units = [[] if ODD.search(t) else UNIT.findall(t) for t in parts]
+        known = known_units(units, lambda fresh: [len(x) // 4 for x in coder(fresh)], cache)
+        return [Counted(u, list(map(known.__getitem__, u))) if u or not t else whole(t) for u, t in zip(units, parts, strict=True)]
+
     out = [0] * len(texts)
-    short = [i for i, t in enumerate(texts) if not splice or len(t) <= CHUNK + OVERLAP]
+    short = [i for i, t in enumerate(texts) if len(t) <= CHUNK + OVERLAP]
     for a, b in slices([texts[i] for i in short], BATCH):
-        for i, e in zip(short[a:b], tokenizer.encode_batch([texts[i] for i in short[a:b]], add_special_tokens=False)):
+        for i, e in zip(short[a:b], by_units([texts[i] for i in short[a:b]]), strict=True):
             out[i] = len(e)
     for i in set(range(len(texts))).difference(short):
-        out[i] = count_spliced(texts[i], lambda s: tokenizer.encode(s, add_special_tokens=False))
+        out[i] = count_spliced(texts[i], lambda s: by_units([s])[0], CHUNK, OVERLAP)
     return out
 
 

@@ -21,7 +21,7 @@ from abx.llm.runtime import slices
 UNIT = re.compile(r"\s*[A-Za-zÀ-ÖØ-öø-ɏ]+(?![^\W\d_])|\s*\S+|\s+")
 ODD = re.compile("[\x1c-\x1f]")     # white space to Python, not to the pattern: such texts are encoded whole
 BLOCK = 1 << 22                     # characters looked up at once
-CACHE_UNITS = 100_000               # in each of two generations per worker; results do not depend on it
+CACHE_UNITS = 400_000               # in each of two generations per worker; results do not depend on it
 JOINED_UNITS = 4096                 # encoded in one call
 
 
@@ -49,22 +49,29 @@ def library_units(tokenizer) -> Callable[[list[str]], list[bytes]]:
     return encode
 
 
+def known_units(units: list[list[str]], encode: Callable[[list[str]], list], cache: dict[str, dict]) -> dict:
+    """What ``encode`` gives for each unit in ``units``; those that ``cache`` has are not encoded again."""
+    need = set(chain.from_iterable(units))
+    known = cache.setdefault("new", {})
+    if len(known) > CACHE_UNITS:
+        cache["old"], cache["new"] = known, {}
+        known = cache["new"]
+    old = cache.get("old", {})
+    # Tested one by one: a set less a dict's keys would go through all keys of the dict.
+    new = [u for u in need if u not in known]
+    known.update((u, old[u]) for u in new if u in old)
+    fresh = [u for u in new if u not in known]
+    known.update(zip(fresh, encode(fresh)))
+    return known
+
+
 def encode_all(texts: list[str], encode: Callable[[list[str]], list[bytes]], cache: dict[str, dict]) -> list[bytes]:
     """What ``encode`` gives for each unit, joined per text (int32 ids as bytes, say). ``cache``
     keeps the units of the last two generations."""
     out: list[bytes] = []
     for a, b in slices(texts, BLOCK):
         units = [[] if ODD.search(t) else UNIT.findall(t) for t in texts[a:b]]
-        need = set(chain.from_iterable(units))
-        known = cache.setdefault("new", {})
-        if len(known) > CACHE_UNITS:
-            cache["old"], cache["new"] = known, {}
-            known = cache["new"]
-        old = cache.get("old", {})
-        new = need - known.keys()
-        known.update((u, old[u]) for u in new & old.keys())
-        fresh = list(new - old.keys())
-        known.update(zip(fresh, encode(fresh)))
+        known = known_units(units, encode, cache)
         out += [b"".join(map(known.__getitem__, u)) if u or not t else encode([t])[0]
                 for u, t in zip(units, texts[a:b])]
     return out
