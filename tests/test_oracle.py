@@ -22,9 +22,8 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, detail
 
 
-def test_every_query_has_an_oracle_or_is_listed():
-    missing = set(QUERIES) - set(E.oracle_sql())
-    assert missing == {"price_model", "price_model_metrics", "score_by_group"}
+def test_every_query_has_an_oracle():
+    assert not set(QUERIES) - set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
