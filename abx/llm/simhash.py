@@ -6,10 +6,16 @@ sides of a radius both lie within ``distance`` of it, so it is enough that the
 inner ones of that boundary are copied to the outer side: every close pair then
 meets in some shard. A shard orders its members by their distance to one of them
 and compares only those whose distances differ by ``distance`` at most.
+
+Shards are planned for a multiple of the square root of the number of fingerprints,
+so copies and comparisons share the growth and every size goes through the same
+tree. Where no split helps, a leaf is dealt into blocks and each pair of blocks is
+a shard of its own, so no task meets an unbounded group.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -25,8 +31,10 @@ from abx.llm.runtime import columns_of, small_batches, texts_of, written
 
 SEED = 42
 BLOCK = 1 << 16         # shingles counted at once
-SHARD = 1 << 16         # members that a shard is planned for: each halving costs half as many copies again
-SAMPLE = 1 << 18        # fingerprints that the tree is planned on, at most, and a tenth of all
+ROOTS = 8               # a shard is planned for so many times the root of the number of fingerprints
+SAMPLE = 1 << 18        # fingerprints that the tree is planned on, at most
+LEAST_SAMPLE = 1 << 12  # at least, where a tenth of all is less
+ROUTED = 1 << 16        # fingerprints that go down the tree at once
 ROWS, COLUMNS = 64, 4096
 
 
@@ -62,24 +70,50 @@ def hex_of(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+@dataclass(frozen=True)
+class Leaf:
+    """One shard, or where ``blocks`` is two or more, a shard for each pair of blocks,
+    numbered from ``first`` on."""
+
+    first: int
+    blocks: int = 1
+
+    @property
+    def shards(self) -> int:
+        return max(1, self.blocks * (self.blocks - 1) // 2)
+
+
 @dataclass(frozen=True)
 class Node:
     vantage: int
     radius: int
-    inner: "Node | int"     # a shard's number at the leaves
-    outer: "Node | int"
+    inner: "Node | Leaf"
+    outer: "Node | Leaf"
 
 
-def plan_tree(sample: np.ndarray, total: int, distance: int, shard: int = SHARD, seed: int = 7) -> Node | int:
+def shard_size(total: int) -> int:
+    """Members that a shard is planned for among ``total`` fingerprints."""
+    return max(8, ROOTS * math.isqrt(total))
+
+
+def plan_tree(sample: np.ndarray, total: int, distance: int, shard: int, seed: int = 7) -> Node | Leaf:
     """A tree whose shards hold about ``shard`` of ``total`` fingerprints, copies included,
     as far as the sample tells. Only balance depends on the sample, not the result."""
     rng = np.random.default_rng(seed)
-    most = shard * len(sample) / max(1, total)
-    shards = iter(range(1 << 62))
-
-    def grow(own: np.ndarray) -> Node | int:
-        if len(own) <= max(most, 8):
-            return next(shards)
+    sample = np.unique(sample)
+    each = max(1.0, total / max(1, len(sample)))    # fingerprints that one of the sample stands for
+    used = 0
+
+    def leaf(members: int) -> Leaf:
+        nonlocal used
+        over = members * each / shard
+        got = Leaf(used, math.ceil(2 * over) if over > 2 else 1)
+        used += got.shards
+        return got
+
+    def grow(own: np.ndarray) -> Node | Leaf:
+        if len(own) * each <= shard or len(own) < 8:
+            return leaf(len(own))
         best = None
         for v in rng.choice(own, min(4, len(own)), replace=False):
             at = np.bincount(np.bitwise_count(own ^ v), minlength=65)
@@ -92,24 +126,37 @@ def plan_tree(sample: np.ndarray, total: int, distance: int, shard: int = SHARD,
                 best = (worst, v, r)
         worst, v, r = best
         if worst > 0.9 * len(own):      # one ball: a split would copy nearly all of it
-            return next(shards)
+            return leaf(len(own))
         d = np.bitwise_count(own ^ v)
         return Node(int(v), r, grow(own[d <= r]), grow(own[d > r - distance]))
 
-    return grow(np.unique(sample))
+    return grow(sample)
 
 
-def route(fps: np.ndarray, tree: Node | int, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def route(fps: np.ndarray, tree: Node | Leaf, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """(shard, fingerprint) for each shard that a fingerprint belongs to."""
     shards, members, todo = [], [], [(tree, fps)]
     while todo:
         node, own = todo.pop()
-        if isinstance(node, int):
-            shards.append(np.full(len(own), node, np.int64))
-            members.append(own)
-        elif len(own):
+        if not len(own):
+            continue
+        if isinstance(node, Node):
             d = np.bitwise_count(own ^ np.uint64(node.vantage)).astype(np.int16)
             todo += [(node.inner, own[d <= node.radius]), (node.outer, own[d > node.radius - distance])]
+            continue
+        if node.blocks < 2:
+            shards.append(np.full(len(own), node.first, np.int64))
+            members.append(own)
+            continue
+        mixed = own * np.uint64(0x9E3779B97F4A7C15)
+        block = ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(node.blocks)).astype(np.int64)
+        for other in range(node.blocks):
+            at = block != other
+            i, j = np.minimum(block[at], other), np.maximum(block[at], other)
+            shards.append(node.first + j * (j - 1) // 2 + i)
+            members.append(own[at])
+    if not shards:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(shards), np.concatenate(members)
 
 
@@ -131,23 +178,33 @@ def forest(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return fps[moved], fps[label[moved]]
 
 
-def links(distinct: DataFrame, distance: int = 3, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
+def links(distinct: DataFrame, distance: int = 3, shard: int | None = None, sample: int = SAMPLE) -> DataFrame:
     """``a, b``: edges that connect exactly the fingerprints (column ``fp``, distinct longs)
-    which chains of pairs within ``distance`` connect."""
+    which chains of pairs within ``distance`` connect. ``shard``: members that a shard
+    is planned for (``shard_size`` of their number unless given)."""
     total = distinct.count()
-    share = min(0.1, sample / max(1, total))
+    share = min(sample, max(LEAST_SAMPLE, total // 10)) / max(1, total)
     unit = F.pmod(F.xxhash64("fp", F.lit("vantage")), F.lit(1 << 30)) / float(1 << 30)
-    # A bounded sample (``sample`` expected, never over a tenth of all) plans the tree.
-    taken = distinct.where(unit < share).toArrow()["fp"].to_numpy() if total > shard else np.zeros(0, np.int64)
-    tree = plan_tree(taken.astype(np.int64).view(np.uint64), total, distance, shard) if len(taken) else 0
+    # A bounded sample (``sample`` expected) plans the tree.
+    taken = distinct.where(unit < share).select("fp").toArrow()["fp"].to_numpy()
+    tree = plan_tree(taken.astype(np.int64).view(np.uint64), total, distance, shard or shard_size(total))
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                s, m = route(batch.column(0).to_numpy().view(np.uint64), tree, distance)
-                for a in range(0, len(s), 1 << 18):
-                    yield pa.record_batch([pa.array(s[a:a + (1 << 18)]), pa.array(m[a:a + (1 << 18)].view(np.int64))],
-                                          names=["shard", "fp"])
+        def down(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            s, m = route(np.concatenate(held).view(np.uint64), tree, distance)
+            for a in range(0, len(s), 1 << 18):
+                yield pa.record_batch([pa.array(s[a:a + (1 << 18)]), pa.array(m[a:a + (1 << 18)].view(np.int64))],
+                                      names=["shard", "fp"])
+
+        held, count = [], 0
+        for batch in batches:       # gathered, since each call walks the whole tree
+            held.append(batch.column(0).to_numpy())
+            count += batch.num_rows
+            if count >= ROUTED:
+                yield from down(held)
+                held, count = [], 0
+        if count:
+            yield from down(held)
 
     def linked(table: pa.Table) -> pa.Table:
         a, b = forest(np.unique(table["fp"].to_numpy().view(np.uint64)), distance)

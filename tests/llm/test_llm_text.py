@@ -355,6 +355,32 @@ def test_tree_brings_every_close_pair_together():
     assert components(fps.tolist(), [(int(a), int(b)) for a, b in zip(*simhash.forest(fps, 3))]) == want
 
 
+def shard_numbers(node):
+    if isinstance(node, simhash.Leaf):
+        return node.shards
+    return shard_numbers(node.inner) + shard_numbers(node.outer)
+
+
+def test_a_ball_that_no_split_helps_is_dealt_into_block_pairs():
+    rng = np.random.default_rng(2)
+    fps = np.unique(flipped(rng, np.full(4000, np.uint64(12345)), 2))       # all within four bits of each other
+    tree = simhash.plan_tree(fps, len(fps), 3, shard=200)
+    shard, member = simhash.route(fps, tree, 3)
+    held = Counter(shard.tolist())
+    assert len(held) > 20 and max(held.values()) <= 400
+    edges = [(int(a), int(b)) for s in held for a, b in zip(*simhash.forest(np.unique(member[shard == s]), 3))]
+    assert components(fps.tolist(), edges) == components(fps.tolist(), close(fps))
+
+
+@pytest.mark.parametrize("total", [900, 9_296, 250_000])
+def test_every_size_goes_through_a_tree(total):
+    fps = np.unique(np.random.default_rng(total).integers(0, 1 << 63, total, dtype=np.uint64))
+    tree = simhash.plan_tree(fps[::10], total, 3, simhash.shard_size(total))
+    assert isinstance(tree, simhash.Node) and shard_numbers(tree) >= 4
+    shard, member = simhash.route(fps, tree, 3)
+    assert max(Counter(shard.tolist()).values()) < 3 * simhash.shard_size(total)
+
+
 def brute_fingerprint(text):
     words = (text or "").encode().lower().split()
     grams = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
