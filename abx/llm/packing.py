@@ -3,7 +3,7 @@
 Documents are cut into pieces of at most ``size`` tokens and packed into sequences
 of ``size``. The plan needs only how many pieces each length has (at most ``size``
 numbers): lengths that complete each other exactly, singly, in pairs or in triples
-looked up among the lengths' sums, are consumed as far as their counts go, and
+found through an index of their sums, are consumed as far as their counts go, and
 what is left is placed best fit. The plan gives each length's pieces, in rank
 order, runs of sequences; pieces find their place from their rank, which Spark
 computes within (length, bucket).
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,11 +42,51 @@ class Run:
     offset: int
 
 
+class _Sums:
+    """Index of the lengths in use by their sums, singly, in pairs and in triples: how many
+    have each sum, equal lengths in one pair or triple included. A length that leaves
+    takes its pairs and triples along."""
+
+    def __init__(self, lengths: Iterable[int], size: int):
+        self.end = size + 1
+        self.one, twice, thrice = np.zeros((3, self.end), np.int64)
+        for n in lengths:
+            for k, at in enumerate((self.one, twice, thrice), 1):
+                at[k * n:k * n + 1] = 1
+        both = np.convolve(self.one, self.one)[:self.end]
+        self.two = (both + twice) // 2
+        self.three = (np.convolve(both, self.one)[:self.end] + 3 * np.convolve(twice, self.one)[:self.end] + 2 * thrice) // 6
+
+    def drop(self, n: int) -> None:
+        if self.one[n]:
+            self.one[n] = 0
+            for k, (sums, rest) in enumerate(((self.two, self.one), (self.three, self.two))):
+                sums[n:] -= rest[:self.end - n]
+                if k:
+                    sums[2 * n:] -= self.one[:max(0, self.end - 2 * n)]
+                sums[(k + 2) * n:(k + 2) * n + 1] -= 1
+
+    def pairs(self, total: int) -> list[int]:
+        """The larger lengths of the pairs of this sum, longest first."""
+        if not self.two[total]:
+            return []
+        a = np.arange(total - 1, (total - 1) // 2, -1)
+        return a[(self.one[a] & self.one[total - a]) > 0].tolist()
+
+    def triples(self, total: int) -> Iterator[tuple[int, int]]:
+        """The two larger lengths of the triples of this sum, longest first."""
+        if self.three[total]:
+            a = np.arange(total - 2, (total - 1) // 3, -1)
+            for x in a[(self.one[a] > 0) & (self.two[total - a] > 0)].tolist():
+                yield from ((x, y) for y in self.pairs(total - x) if y <= x)
+
+
 class _Plan:
     def __init__(self, counts: dict[int, int], size: int):
         self.left = {n: c for n, c in counts.items() if c > 0}
         self.used = dict.fromkeys(self.left, 0)
         self.size, self.bins, self.runs = size, 0, []
+        self.sums = _Sums(self.left, size)
 
     def take(self, length: int, bins: int, each: int, first: int, offset: int) -> None:
         self.runs.append(Run(length, self.used[length], bins, each, first, offset))
@@ -54,6 +94,7 @@ class _Plan:
         self.left[length] -= bins * each
         if not self.left[length]:
             del self.left[length]
+            self.sums.drop(length)
 
     def fill(self, lengths: tuple[int, ...]) -> None:
         """As many new sequences of exactly these lengths as their counts allow."""
@@ -75,27 +116,14 @@ class _Plan:
             return ()
         if gap <= big and self.has(big, gap):
             return (gap,)
-        sizes = self.sorted_sizes(min(big, gap - 1))
-        for a in sizes:
-            if 2 * a < gap:
-                break
+        for a in self.sums.pairs(gap):
             if self.has(big, a, gap - a):
                 return (a, gap - a)
-        have = self.left.keys()
-        for a in sizes:         # the largest of three
-            if 3 * a < gap:
-                break
-            rest = gap - a
-            for b in sizes[bisect_left(sizes, -min(a, rest - 1), key=lambda x: -x):]:
-                if 2 * b < rest:
-                    break
-                if rest - b in have and self.has(big, a, b, rest - b):
-                    return (a, b, rest - b)
+        for a, b in self.sums.triples(gap):
+            if self.has(big, a, b, gap - a - b):
+                return (a, b, gap - a - b)
         return None
 
-    def sorted_sizes(self, most: int) -> list[int]:
-        return sorted((n for n in self.left if n <= most), reverse=True)
-
 
 def plan_packing(counts: dict[int, int], size: int) -> tuple[list[Run], int]:
     """Runs that place every piece, and how many sequences they fill. Works on counts
@@ -107,6 +135,7 @@ def plan_packing(counts: dict[int, int], size: int) -> tuple[list[Run], int]:
             if found is None:
                 break
             p.fill((big, *found))
+        p.sums.drop(big)        # no later sequence takes it as a part
     # Best fit of the rest, longest first: open sequences are kept as groups (gap, first, bins).
     groups: list[tuple[int, int, int]] = []
     for n in sorted(p.left, reverse=True):
