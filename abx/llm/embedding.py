@@ -30,6 +30,7 @@ from abx.llm.runtime import worker_cache, written
 SLOTS = 1024        # members and visitors of a bucket that one task compares; larger buckets are split in blocks
 CHUNK_ROWS = 4096
 PAIRS = 1 << 18     # pairs judged at once
+LEAST_CHANCE = 0.01 # that a pair at the threshold meets in a table; keys are shortened to reach it
 
 
 @dataclass(frozen=True)
@@ -106,21 +107,33 @@ def meet(key_a, probe_a, key_b, probe_b) -> np.ndarray:
     return ((key_a == key_b) | (probe_a == key_b[..., None]).any(-1) | (probe_b == key_a[..., None]).any(-1))
 
 
+def chance(dim: int, bits: int, threshold: float) -> float:
+    """Probability that a random pair with this cosine meets in a table, by simulation."""
+    rng = np.random.default_rng((5, dim))
+    a = rng.standard_normal((2000, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((2000, dim))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    norm = np.linalg.norm(b, axis=1, keepdims=True)
+    b = threshold * a + math.sqrt(1 - threshold ** 2) * b / np.where(norm > 1e-9, norm, 1.0)
+    trial = Hashing(bits, 4)
+    return float(meet(*keys_of(a, trial), *keys_of(b, trial)).mean())
+
+
 def plan(total: int, dims: list[int], threshold: float, recall: float = 0.995) -> Hashing:
-    """Bits by the number of vectors (about 16 buckets each), tables by simulation at the threshold."""
+    """Bits by the number of vectors (about 16 buckets each), tables by simulation at the
+    threshold. Where pairs would meet too seldom to be simulated, or to be found in a
+    sensible number of tables, keys are shortened: buckets grow, recall stays."""
     bits = min(60, math.ceil(math.log2(max(2, total))) + 4)
+    for dim in dims:
+        while chance(dim, bits, threshold) < LEAST_CHANCE:
+            if bits <= 2:
+                raise ValueError(f"pairs of cosine {threshold} meet too seldom in {dim} dimensions")
+            bits -= 1
     tables = 1
     for dim in dims:
-        rng = np.random.default_rng((5, dim))
-        a = rng.standard_normal((2000, dim))
-        a /= np.linalg.norm(a, axis=1, keepdims=True)
-        b = rng.standard_normal((2000, dim))
-        b -= (a * b).sum(axis=1, keepdims=True) * a
-        norm = np.linalg.norm(b, axis=1, keepdims=True)
-        b = threshold * a + math.sqrt(1 - threshold ** 2) * b / np.where(norm > 1e-9, norm, 1.0)
-        trial = Hashing(bits, 4)
-        p = float(meet(*keys_of(a, trial), *keys_of(b, trial)).mean())
-        tables = max(tables, math.ceil(math.log(1 - recall) / math.log(1 - min(max(p, 0.01), 0.999))))
+        p = chance(dim, bits, threshold)
+        tables = max(tables, math.ceil(math.log(1 - recall) / math.log(1 - min(p, 0.999))))
     return Hashing(bits, tables)
 
 
@@ -219,7 +232,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     without an id, link with nothing; so do vectors of different lengths. Equal
     vectors are one node: each links with all its equals. Rows that repeat an id are
     rows of their own among equals, and one vertex otherwise. An empty table gives an
-    empty result; other columns are not read.
+    empty result; other columns are not read. Ids are longs.
     """
     v = F.col("v")
     fit = (v.isNotNull() & F.col("id").isNotNull()
