@@ -8,8 +8,9 @@ ranks stand for) tells equal windows apart exactly.
 
 What need not travel does not: super-k-mers whose minimiser one document alone
 has cannot repeat, and of equal super-k-mers only those of the smallest document
-travel, the others being covered by it whole. Minimisers with very many different
-super-k-mers send single windows instead, spread over sub-buckets by content.
+travel, the others being covered by it whole. Minimisers whose different super-k-mers
+hold very many words send single windows instead, spread over sub-buckets by content;
+a window that recurs within a document travels once, with all its places.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ WINDOW = 50
 GRAM = 5
 BLOCK = 1 << 22         # bytes of text whose minimisers are computed at once
 CHUNK_WORDS = 200_000   # words of a bucket that are sorted at once, at least
-HOT = 2_000             # different super-k-mers of a minimiser beyond which it is split
+HOT = 150_000           # words in the different super-k-mers of a minimiser beyond which it is split
+KINDS = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -130,12 +132,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null texts stay null and have no words. Rows without an id neither lose nor cause
     removals. Rows that share an id count as one document; none removes words of the
     other. An empty table gives an empty result. Texts in which nothing is removed are
-    unchanged; ids must be of an ordered type.
+    unchanged. Ids are integers or strings; other types are an error.
     """
     small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
     kind = id_type.simpleString()
-    to_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    if kind not in KINDS:
+        raise ValueError(f"ids of type {kind}: cast them to an integer or a string")
+    to_arrow = KINDS[kind]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,8 +172,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     told = written(found.join(first, ["m", "d1", "d2"]).select(
         "doc", "k", "start", "n", "m", (F.col("doc") > F.col("first")).alias("copy")).distinct(), "told")
     # Different super-k-mers of a minimiser, of all its documents; hot ones are split.
-    sizes = (told.where("not copy").groupBy("m").agg(F.count("*").alias("c"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-             .where("lo < hi").select("m", F.when(F.col("c") > HOT, F.ceil(F.col("c") * window / HOT)).otherwise(0)
+    words = F.sum(F.col("n").cast("long") + window - 1)
+    sizes = (told.where("not copy").groupBy("m").agg(words.alias("words"), F.sum("n").alias("windows"),
+                                                     F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+             .where("lo < hi").select("m", F.when(F.col("words") > HOT, F.ceil(F.col("windows") * window / HOT)).otherwise(0)
                                       .cast("int").alias("subs")))
     travel = (told.where("not copy").join(sizes, "m").groupBy("doc", "k")
               .agg(F.collect_list(F.struct("start", "n", "m", "subs")).alias("wanted")))
@@ -190,48 +196,63 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
          for f in docs.schema] + [T.StructField(doc, id_type), T.StructField(key, T.LongType())])
     pressed = docs.select(*columns_of(docs), F.col(id_col).alias(doc), text_key.alias(key)).mapInArrow(press, pressed_schema)
 
+    places = pa.list_(pa.int32())
+    packed_schema = f"m long, s int, doc {kind}, k long, start int, n int, packed binary, also array<int>"
+
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["m", "s", "doc", "k", "start", "n", "packed"]
-        kinds = [pa.int64(), pa.int32(), to_arrow, pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        names = ["m", "s", "doc", "k", "start", "n", "packed", "also"]
+        kinds = [pa.int64(), pa.int32(), to_arrow, pa.int64(), pa.int32(), pa.int32(), pa.binary(), places]
         d = zstandard.ZstdDecompressor()
+        rows: list[tuple] = []
+        seen: dict[bytes, tuple] = {}       # single windows; the last column lists more places in the document
+
+        def drained() -> pa.RecordBatch:
+            out = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, *seen.values()), kinds)], names=names)
+            rows.clear()
+            seen.clear()
+            return out
+
         for batch in batches:
-            rows, size = [], 0
-            seen: dict[bytes, tuple] = {}
+            size = 0
             for doc_, k_, z_, wanted in zip(*(batch.column(c).to_pylist() for c in range(4))):
                 words = d.decompress(z_).split()
                 for w in wanted:
                     start, n, m, subs = w["start"], w["n"], w["m"], w["subs"]
                     if not subs:
-                        rows.append((m, 0, doc_, k_, start, n, b" ".join(words[start:start + n + window - 1])))
-                        size += len(rows[-1][-1])
-                        continue
-                    for p in range(start, start + n):
+                        rows.append((m, 0, doc_, k_, start, n, b" ".join(words[start:start + n + window - 1]), None))
+                        size += len(rows[-1][6])
+                    for p in range(start, start + n) if subs else ():
                         one = b" ".join(words[p:p + window])
-                        row = (m, xxhash.xxh64_intdigest(one) % subs, doc_, k_, p, 1, one)
                         # Of equal single windows in a batch the smallest document's travels.
                         old = seen.get(one)
+                        if old and old[2] == doc_ and old[3] == k_:
+                            old[7].append(p)
+                            size += 8
+                            continue
+                        row = (m, xxhash.xxh64_intdigest(one) % subs, doc_, k_, p, 1, one, [])
                         if old is None:
                             seen[one] = row
                         elif old[2] < doc_:
-                            rows.append((*row[:6], None))
+                            rows.append((*row[:6], None, []))
                         elif old[2] > doc_:
-                            rows.append((*old[:6], None))
+                            rows.append((*old[:6], None, old[7]))
                             seen[one] = row
                         else:
                             rows.append(row)
-                        size += 64 + (len(one) if old is None else 0)
-                if size > BLOCK:
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, *seen.values()), kinds)], names=names)
-                    rows, size = [], 0
-                    seen.clear()
+                        size += 64 + len(one)
+                        if size > BLOCK:
+                            yield drained()
+                            size = 0
+                    if size > BLOCK:
+                        yield drained()
+                        size = 0
             if rows or seen:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, *seen.values()), kinds)], names=names)
+                yield drained()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def spans(held: list[tuple]) -> pa.RecordBatch:
-            out = [(held[r][2], held[r][3], a, n) for r, a, n in repeated_spans(
-                [(h[2], h[4], h[5], h[6].split(b" ")) for h in held], window)] if held else []
-            return record(out)
+            found = repeated_spans([(h[2], h[4], h[5], h[6].split(b" ")) for h in held], window) if held else []
+            return record([(held[r][2], held[r][3], at, n) for r, a, n in found for at in (a, *(held[r][7] or ()))])
 
         def record(out: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*out)) or [()] * 4
@@ -243,7 +264,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             covered = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[6] is None:
-                    covered.append((row[2], row[3], row[4], row[5] + window - 1))
+                    covered += [(row[2], row[3], at, row[5] + window - 1) for at in (row[4], *(row[7] or ()))]
                     continue
                 if words >= CHUNK_WORDS and row[:2] != held[-1][:2]:
                     yield spans(held)
@@ -258,7 +279,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     asked = travel.select(F.col("doc").alias(doc), F.col("k").alias(key), F.col("wanted").alias(wish))
     moved = (pressed.select(doc, key, z).dropDuplicates([doc, key]).join(asked, [doc, key])
              .select(doc, key, z, wish)
-             .mapInArrow(unpack, f"m long, s int, doc {kind}, k long, start int, n int, packed binary")
+             .mapInArrow(unpack, packed_schema)
              .repartition("m", "s").sortWithinPartitions("m", "s")
              .mapInArrow(count, f"doc {kind}, k long, start int, length int"))
     copies = told.where("copy").select("doc", "k", "start", (F.col("n") + window - 1).cast("int").alias("length"))

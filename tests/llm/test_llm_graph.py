@@ -112,6 +112,14 @@ def test_recall_at_the_threshold():
         assert embedding.meet(*embedding.keys_of(a, how), *embedding.keys_of(b, how)).any(axis=1).mean() >= 0.98
 
 
+def test_keys_are_shortened_where_pairs_meet_too_seldom():
+    assert embedding.plan(250, [64], 0.95) == embedding.Hashing(12, embedding.plan(250, [64], 0.95).tables)
+    how = embedding.plan(10 ** 9, [64], 0.6)
+    assert 2 < how.bits < 34
+    p = embedding.chance(64, how.bits, 0.6)
+    assert p >= embedding.LEAST_CHANCE and 1 - (1 - p) ** how.tables >= 0.995
+
+
 def test_rotation_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(np.linalg.norm(embedding._hadamard(x), axis=1), 4 * np.linalg.norm(x, axis=1))

@@ -91,6 +91,24 @@ def test_plan_is_close_to_the_bound_and_consistent(seed):
     assert bins <= -(-int(lengths.sum()) // 64) * 1.03 + 3
 
 
+def test_index_of_sums_under_removal():
+    rng = random.Random(3)
+    for size in (5, 12, 40):
+        live = set(rng.sample(range(1, size + 1), rng.randint(1, size)))
+        index = packing._Sums(live, size)
+        while live:
+            for total in range(1, size + 1):
+                pairs = [a for a in sorted(live, reverse=True) if total - a in live and 2 * a >= total]
+                triples = [(a, b) for a in sorted(live, reverse=True) for b in sorted(live, reverse=True)
+                           if total - a - b in live and a >= b >= total - a - b]
+                assert (index.two[total], index.three[total]) == (len(pairs), len(triples))
+                assert index.pairs(total) == pairs and list(index.triples(total)) == triples
+            gone = rng.choice(sorted(live))
+            live.remove(gone)
+            index.drop(gone)
+            index.drop(gone)
+
+
 def test_exact_complements_are_used():
     runs, bins = packing.plan_packing({1500: 2, 548: 1, 300: 1, 248: 1, 1000: 1, 500: 1, 400: 1, 148: 1}, 2048)
     assert bins == 3    # 1500+548, 1500+300+248, 1000+500+400+148
@@ -426,7 +444,7 @@ def brute_cut(rows, window=50):
     return out
 
 
-@pytest.mark.parametrize("hot", [2000, 3])
+@pytest.mark.parametrize("hot", [150_000, 200])
 def test_substring_against_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(substring, "HOT", hot)
     rng = random.Random(3)
@@ -454,6 +472,27 @@ def test_substring_against_brute_force(spark, monkeypatch, hot):
     assert substring.remove_repeats(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "short"])
+def test_substring_splits_by_words(spark, monkeypatch, kind):
+    """Few super-k-mers, each as long as its document: windows travel by themselves, each once a document."""
+    monkeypatch.setattr(substring, "HOT", 1000)
+    monkeypatch.setattr(substring, "BLOCK", 1 << 14)
+    rng = random.Random(12)
+    turn = " ".join(f"t{i}" for i in range(7))
+    rows = [(1, "same " * 3000), (2, "same " * 2500 + "end " + "same " * 700), (3, (turn + " ") * 600), (4, "lead " + (turn + " ") * 500),
+            (5, " ".join(f"w{rng.randrange(9000)}" for _ in range(3000))), (4, "same " * 90), (6, "same " * 60)]
+    if kind == "string":
+        rows = [(str(i), t) for i, t in rows]
+    cut = substring.remove_repeats(spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(3))
+    got = sorted((r.doc_id, r.n_words, r.n_removed, b" ".join((r.text or "").encode().split())) for r in cut.collect())
+    assert got == sorted(brute_cut(rows))
+
+
+def test_substring_refuses_other_ids(spark):
+    with pytest.raises(ValueError, match="double"):
+        substring.remove_repeats(spark.createDataFrame([(1.5, "x")], "doc_id double, text string"))
+
+
 def rows_out(plan, kind):
     """Rows that the plan's nodes of a kind gave, after it ran."""
     name = plan.getClass().getSimpleName()
