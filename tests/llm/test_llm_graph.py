@@ -1,19 +1,25 @@
 """URL classes, components, embeddings and the pipeline."""
 
+import math
 import random
-from collections import Counter
+import re
+import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from abx.llm import embedding, queries, url_filter
+from abx.llm import embedding, langid, queries, toxicity, url_filter
 from abx.llm.components import connected_components
 from abx.llm.queries import URL_RULES
 from conftest import SF001
 from oracle_compare import compare, duck
-from test_llm_text import brute_cut, brute_fingerprint, close, components
+from test_llm_text import brute_cut, brute_fingerprint, brute_language, close, components
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
@@ -159,3 +165,104 @@ def test_pipeline_stages(spark):
                 fill[r.sequence_id] += r.length
             assert max(fill.values()) <= 2048
     assert corpus_pipeline.run(spark, SF001).columns == rows.columns
+
+
+def brute_toxicity(text, model):
+    """Score of one text, a word at a time."""
+    weights = dict(zip(model.features.tolist(), model.weights.tolist()))
+    held, tokens, quarter = Counter(), (text or "").split(), toxicity.Settings.buckets // 4
+    for token in tokens:
+        ids = set()
+        for word in re.findall(r"[^\W\d_]+", token.lower()):
+            ids |= {zlib.crc32(b"=" + word.encode()) % quarter}
+            ids |= {zlib.crc32(b"^" + word[:n].encode()) % quarter for n in (4, 5, 6) if len(word) >= n}
+        held.update(ids)
+    n, g = max(50, len(tokens)), model.bias
+    for i, k in held.items():
+        for tier, (times, share) in enumerate(((1, 0), (2, 200), (3, 100))):
+            if k >= times and (not share or share * k >= n):
+                g += weights.get(4 * i + tier, 0.0)
+    return 1 / (1 + math.exp(-g)) if g > -700 else 0.0
+
+
+def brute_posterior(text, model):
+    """Language and posterior of one text; none without a letter."""
+    if not regex.search(r"\p{L}", text or ""):
+        return "und", 0.0
+    s = brute_language(text, model)
+    p = np.exp(s - s.max())
+    return model.langs[int(p.argmax())], float(p.max() / p.sum())
+
+
+def brute_kept_text(text, window=50, gone=()):
+    """The text less the words at these places, each with the white space up to the next word."""
+    starts = [m.start() for m in re.finditer("[^\x20\x09-\x0D]+", text)] + [len(text)]
+    return text[:starts[0]] + "".join(text[a:b] for i, (a, b) in enumerate(zip(starts, starts[1:])) if i not in gone)
+
+
+def brute_pieces(text, library, size=2048):
+    ids = library.encode(text, add_special_tokens=False).ids + [0]
+    first = (len(ids) - 1) % size + 1
+    ends = list(range(first, len(ids) + 1, size))
+    return [(k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip([0, *ends], ends))]
+
+
+def test_language_and_toxicity_rows_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))), "text", "lang", "doc_id")
+    for r in queries.op3_language_id(spark, SF001).collect():
+        lang, score = brute_posterior(texts[r.doc_id], model)
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-6
+    held = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs.where(~held), spark.read.parquet(f"{SF001}/labels.parquet").where(~held))
+    for r in queries.op5_toxicity(spark, SF001).collect():
+        score = brute_toxicity(texts[r.doc_id], model)
+        assert abs(r.score - score) < 1e-9 and r.predicted == (r.score >= 0.5)
+
+
+def test_pipeline_rows_equal_a_chain_of_brute_force(spark, tmp_path):
+    """run(), row by row, over documents of which a third are copies of one."""
+    base = spark.read.parquet(f"{SF001}/documents.parquet")
+    first = base.orderBy("doc_id").limit(1)
+    copies = first.crossJoin(spark.range(base.count() // 2).withColumnRenamed("id", "copy")).withColumn(
+        "doc_id", F.col("copy") + 70000).drop("copy")
+    odd = spark.createDataFrame([(90001, None), (90002, ""), (90003, "123")], "doc_id long, text string")
+    base.unionByName(copies).unionByName(odd, allowMissingColumns=True).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF001}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))), "text", "lang", "doc_id")
+    left = {i: t for i, t in texts.items() if brute_posterior(t, model)[1] >= 0.5}
+    held = toxicity.held_out(F.col("doc_id"))
+    here = docs.where(F.col("doc_id").isin(list(left)) & ~held)
+    model = toxicity.fit(here, spark.read.parquet(f"{tmp_path}/labels.parquet").where(~held))
+    scores = {t: brute_toxicity(t, model) for t in set(left.values())}
+    left = {i: t for i, t in left.items() if scores[t] < 0.5}
+    prints = {t: brute_fingerprint(t) for t in set(left.values())}
+    root = components(set(prints.values()), close(np.unique(np.array(list(prints.values()), np.uint64))))
+    least = {}
+    for i, t in left.items():
+        least[root[prints[t]]] = min(i, least.get(root[prints[t]], i))
+    left = {i: t for i, t in left.items() if least[root[prints[t]]] == i}
+    words = {i: re.findall("[^\x20\x09-\x0D]+", t) for i, t in left.items()}
+    owner = {}
+    for i, w in words.items():
+        for a in range(len(w) - 49):
+            owner[tuple(w[a:a + 50])] = min(i, owner.get(tuple(w[a:a + 50]), i))
+    library = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    want = set()
+    for i, w in words.items():
+        gone = {b for a in range(len(w) - 49) if owner[tuple(w[a:a + 50])] < i for b in range(a, a + 50)}
+        want |= {(i, *p) for p in brute_pieces(brute_kept_text(left[i], gone=gone), library)}
+    assert len(left) < len(texts) - base.count() // 2 and len(left) > 0.5 * base.count()
+
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(rows) == len(want) and {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows} == want
+    filled = defaultdict(list)
+    for r in rows:
+        filled[r.sequence_id].append((r.offset, r.length))
+    for parts in filled.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(parts)]).tolist()]
+        assert ends[-1] <= corpus_pipeline.SEQUENCE and ends[:-1] == [a for a, _ in sorted(parts)]
