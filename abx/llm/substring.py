@@ -10,7 +10,8 @@ What need not travel does not: super-k-mers whose minimiser one document alone
 has cannot repeat, and of equal super-k-mers only those of the smallest document
 travel, the others being covered by it whole. Minimisers whose different super-k-mers
 hold very many words send single windows instead, spread over sub-buckets by content;
-a window that recurs within a document travels once, with all its places.
+a window that recurs within a document travels once, with all its places. What is known
+to be covered goes on as spans without overlaps, dealt by document.
 """
 
 from __future__ import annotations
@@ -97,6 +98,14 @@ def repeated_spans(packed: list[tuple[int, int, int, list[bytes]]], window: int)
     return [(int(row[h]), packed[row[h]][1] + int(within[h]), int(k) + window - 1) for h, k in zip(hit[a], length)]
 
 
+def merged(places: list[int], length: int) -> list[tuple[int, int]]:
+    """The words that runs of ``length`` from ``places`` on cover, as (start, length) without overlaps."""
+    at = np.unique(np.array(places, np.int64))
+    cut = np.flatnonzero(np.diff(at) > length) + 1
+    a, b = at[np.concatenate(([0], cut))], at[np.concatenate((cut - 1, [len(at) - 1]))]
+    return list(zip(a.tolist(), (b - a + length).tolist()))
+
+
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     """The text without the words in ``spans`` (start, length), each removed with the white
     space up to the next word; its number of words, and how many were removed."""
@@ -205,8 +214,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         d = zstandard.ZstdDecompressor()
         rows: list[tuple] = []
         seen: dict[bytes, tuple] = {}       # single windows; the last column lists more places in the document
+        covered: dict[tuple, list[int]] = {}    # places of windows that a smaller document holds
 
         def drained() -> pa.RecordBatch:
+            for (doc_, k_), at in covered.items():
+                rows.extend((k_, -1, doc_, k_, a, n - window + 1, None, None) for a, n in merged(at, window))
+            covered.clear()
             out = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, *seen.values()), kinds)], names=names)
             rows.clear()
             seen.clear()
@@ -233,9 +246,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         if old is None:
                             seen[one] = row
                         elif old[2] < doc_:
-                            rows.append((*row[:6], None, []))
+                            covered.setdefault((doc_, k_), []).append(p)
+                            size += 8
+                            continue
                         elif old[2] > doc_:
-                            rows.append((*old[:6], None, old[7]))
+                            covered.setdefault(old[2:4], []).extend((old[4], *old[7]))
                             seen[one] = row
                         else:
                             rows.append(row)
@@ -252,7 +267,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def spans(held: list[tuple]) -> pa.RecordBatch:
             found = repeated_spans([(h[2], h[4], h[5], h[6].split(b" ")) for h in held], window) if held else []
-            return record([(held[r][2], held[r][3], at, n) for r, a, n in found for at in (a, *(held[r][7] or ()))])
+            out, single = [], {}        # single windows come with all their places
+            for r, a, n in found:
+                h = held[r]
+                if h[7] is None:
+                    out.append((h[2], h[3], a, n))
+                else:
+                    single.setdefault(h[2:4], []).extend((a, *h[7]))
+            return record(out + [(*who, a, n) for who, at in single.items() for a, n in merged(at, window)])
 
         def record(out: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*out)) or [()] * 4
@@ -261,18 +283,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
         held, words = [], 0
         for batch in batches:
-            covered = []
+            known = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[6] is None:
-                    covered += [(row[2], row[3], at, row[5] + window - 1) for at in (row[4], *(row[7] or ()))]
+                    known.append((*row[2:5], row[5] + window - 1))
                     continue
                 if words >= CHUNK_WORDS and row[:2] != held[-1][:2]:
                     yield spans(held)
                     held, words = [], 0
                 held.append(row)
                 words += row[5] + window - 1
-            if covered:
-                yield record(covered)
+            if known:
+                yield record(known)
         yield spans(held)
 
     wish = free_name(docs, "_wanted")

@@ -514,6 +514,19 @@ def test_substring_rows_that_repeat_a_document(spark):
     assert max(rows_out(cut._jdf.queryExecution().executedPlan(), "MapInArrow")) < 30 * 30
 
 
+def test_substring_line_that_many_documents_repeat(spark, monkeypatch):
+    """Single windows of a common line become one span a document, however often it stands there."""
+    monkeypatch.setattr(substring, "HOT", 1000)
+    assert substring.merged([7, 1, 3, 3, 20], 5) == [(1, 11), (20, 5)]
+    assert substring.merged([0, 5, 11], 5) == [(0, 10), (11, 5)]
+    line = " ".join(f"t{i}" for i in range(12))
+    rows = [(i, f"a{i} b{i} " + (line + "\n") * (20 + i % 7) + f"c{i}") for i in range(120)]
+    cut = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    got = sorted((r.doc_id, r.n_words, r.n_removed, b" ".join(r.text.encode().split())) for r in cut.collect())
+    assert got == sorted(brute_cut(rows))
+    assert max(rows_out(cut._jdf.queryExecution().executedPlan(), "MapInArrow")) < 20 * len(rows)
+
+
 # --- 9 token counts ---------------------------------------------------------
 
 def test_counts_by_units_in_small_chunks(library, monkeypatch):
