@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from abx.functions.columns import clean_feature_column
@@ -116,20 +116,31 @@ def fit(rows: DataFrame, penalties: Mapping[str, ElasticNet], label: str = "labe
     return solve(gram(rows, label, features, model), penalties)
 
 
+def dealt(rows: DataFrame, key: Sequence[str], rows_a_task: int = 50_000) -> DataFrame:
+    """``rows`` dealt by ``key`` over a number of tasks that grows with their count: what a task sorts or
+    hashes by ``key`` has one size whatever the input and however its files are split."""
+    return rows.repartition(max(1, -(-rows.count() // rows_a_task)), *key)
+
+
 def score(rows: DataFrame, coefficients: DataFrame, key: Sequence[str], model: str, features: str = "features",
           carry: Sequence[str] = ()) -> DataFrame:
     """``key``, ``model``, ``carry`` and ``prediction`` of the rows whose model has coefficients.
 
     ``key`` names one row. Features without a coefficient add nothing. Spark broadcasts the
     coefficients where their measured size allows and shuffles by (model, feature) beyond;
-    products are summed per row before they move.
+    products are summed per row before they move. ``carry`` travels once a row, with its first
+    pair, not with each. Rows that are ``dealt`` by ``key`` are summed where they lie.
     """
     pairs = F.concat(F.array(_pair(F.lit(INTERCEPT), F.lit(1.0))), F.col(features))
-    x = rows.select(*key, model, *carry, F.inline(pairs))
+    x = rows.select(*key, model, *carry, F.posexplode(pairs).alias("_at", "_pair")).select(
+        *key, model, *[F.when(F.col("_at") == 0, F.col(c)).alias(c) for c in carry], "_at", "_pair.feature", "_pair.value")
     known = coefficients.select(F.col("model").alias("_model"), F.col("feature").alias("_feature"), "coefficient")
-    joined = x.join(known, (F.col(model) == F.col("_model")) & (F.col("feature") == F.col("_feature")))
-    return (joined.groupBy(*key, model)
-            .agg(*[F.first(c).alias(c) for c in carry], F.sum(F.col("value") * F.col("coefficient")).alias("prediction")))
+    joined = x.join(known, (F.col(model) == F.col("_model")) & (F.col("feature") == F.col("_feature")), "left")
+    found = joined.where((F.col("_at") == 0) | F.col("_feature").isNotNull())
+    return (found.groupBy(*key, model)
+            .agg(*[F.expr(f"first(`{c}`) FILTER (WHERE _at = 0)").alias(c) for c in carry],
+                 F.sum(F.col("value") * F.col("coefficient")).alias("prediction"), F.count("_feature").alias("_known"))
+            .where(F.col("_known") > 0).drop("_known"))
 
 
 def rejects(rows: DataFrame, coefficients: DataFrame, model: str) -> DataFrame:
@@ -156,20 +167,20 @@ def optimality(rows: DataFrame, coefficients: DataFrame, penalties: Mapping[str,
     """
     options = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(p.alpha * p.l1_ratio).alias("l1"),
                                  F.lit(p.alpha * (1.0 - p.l1_ratio)).alias("l2")) for m, p in penalties.items()])
-    each = rows.select(*key, label, features, F.inline(options))
+    each = dealt(rows, key).select(*key, label, features, F.inline(options))
     scored = score(each, coefficients, [*key, "l1", "l2"], "model", features, carry=[label, features])
     pairs = F.concat(F.array(_pair(F.lit(INTERCEPT), F.lit(1.0))), F.col(features))
     x = scored.select("model", "l1", "l2", (F.col(label) - F.col("prediction")).alias("r"), F.inline(pairs))
     sums = x.groupBy("model", "feature").agg(F.sum(F.col("value") * F.col("r")).alias("xr"), F.count(F.lit(1)).alias("rows"),
                                              F.first("l1").alias("l1"), F.first("l2").alias("l2"))
-    n = sums.where(F.col("feature") == INTERCEPT).select("model", F.col("rows").alias("n"))
+    n = F.max(F.when(F.col("feature") == INTERCEPT, F.col("rows"))).over(Window.partitionBy("model"))  # sums: one row a feature
     w = F.col("coefficient")
     g = F.col("xr") / F.col("n")
     lone = g - F.col("l2") * w
     gap = (F.when(F.col("feature") == INTERCEPT, F.abs(g))
            .when(w == 0, F.greatest(F.abs(lone) - F.col("l1"), F.lit(0.0)))
            .otherwise(F.abs(lone - F.col("l1") * F.signum(w))))
-    return (sums.join(F.broadcast(n), "model").join(coefficients, ["model", "feature"])       # n: one row a model
+    return (sums.withColumn("n", n).join(coefficients, ["model", "feature"])
             .select("model", "feature", "rows", "coefficient", gap.alias("violation")))
 
 

@@ -316,7 +316,7 @@ def q_price_model_optimality(spark, sf_dir):
 def q_price_model_metrics(spark, sf_dir):
     rows = price_rows(spark, sf_dir)
     models = kept(G.fit(rows, PRICE_PENALTIES), "price-model")
-    each = rows.select("*", F.explode(F.array(*map(F.lit, PRICE_PENALTIES))).alias("model"))
+    each = G.dealt(rows, ["listing_id"]).select("*", F.explode(F.array(*map(F.lit, PRICE_PENALTIES))).alias("model"))
     return present(G.metrics_by_model(G.score(each, models, ["listing_id"], "model", carry=["label"])))
 
 

@@ -154,6 +154,44 @@ def test_optimality_finds_a_wrong_coefficient(spark, data):
     assert bad["a", "x1"] > 0.01 and bad["b", "x1"] > 0.01
 
 
+def test_rows_are_dealt_by_count_before_they_are_sorted_by_key(spark):
+    """However the files are split, a task sorts a bounded number of rows by key."""
+    rows = spark.range(0, 100, 1, 1).select("id", F.lit(1.0).alias("label"), G.sparse_features(["id"]).alias("features"))
+    found = G.dealt(rows, ["id"], 30)
+    assert found.rdd.getNumPartitions() == 4 and max(map(len, found.rdd.glom().collect())) < 60
+    assert G.dealt(rows.where("id < 0"), ["id"], 30).rdd.getNumPartitions() == 1
+    assert sorted(r.id for r in found.collect()) == list(range(100))
+    nets = {"a": MD.ElasticNet(), "b": MD.ElasticNet(0.5, 0.5)}
+    coefs = spark.createDataFrame([(m, f, 0.5) for m in nets for f in (G.INTERCEPT, "id")], G.COEFFICIENTS)
+    plan = G.optimality(rows, F.broadcast(coefs), nets, ["id"])._jdf.queryExecution().executedPlan().toString()
+    scored, scan = plan.split("REPARTITION_BY_NUM")        # one pass over the rows, and they are dealt first
+    assert "SortAggregate" in scored and "posexplode" in scored
+    assert "Sort" not in scan.split("BroadcastExchange")[0] and "Aggregate" not in scan.split("BroadcastExchange")[0]
+    assert "hashpartitioning(id" not in scored
+
+
+def test_optimality_of_repeated_null_and_unlabelled_keys(spark):
+    """Rows of one key count as one row that holds the first one's label and features and all their products."""
+    rows = [(1, 5.0, [("x", 2.0)])] * 3 + [(None, 4.0, [("x", 1.0), ("new", 7.0)]), (2, None, [("x", 9.0)]), (3, 1.0, [])]
+    coef = {G.INTERCEPT: 0.5, "x": 0.25}
+    nets = {"a": MD.ElasticNet(0.4, 0.5)}
+    models = spark.createDataFrame([("a", f, c) for f, c in coef.items()], G.COEFFICIENTS)
+    got = {r.feature: (r.rows, r.violation) for r in G.optimality(spark.createDataFrame(rows, SPARSE), models, nets, ["id"]).collect()}
+    residual = {1: 5.0 - 3 * (0.5 + 2 * 0.25), None: 4.0 - (0.5 + 0.25), 3: 1.0 - 0.5}     # of key 2 there is none
+    ones, x = sum(residual.values()) / 4, (2.0 * residual[1] + residual[None]) / 4
+    assert got == {G.INTERCEPT: (4, pytest.approx(abs(ones))), "x": (3, pytest.approx(abs(x - 0.2 * 0.25 - 0.2)))}
+
+
+def test_score_carries_the_first_row_and_needs_no_constant(spark):
+    """Carried columns come with the row, whether the model has a constant or not; rows without a known feature are left out."""
+    rows = [(1, "m", 3.0, [("x", 2.0), ("y", 1.0)]), (2, "m", None, [("x", 1.0)]), (3, "m", 4.0, [("y", 1.0)]), (4, "m", 5.0, None),
+            (None, "m", 6.0, [("x", 3.0)])]
+    df = spark.createDataFrame(rows, "id long, model string, label double, features array<struct<feature:string,value:double>>")
+    coefs = spark.createDataFrame([("m", "x", 10.0)], G.COEFFICIENTS)
+    got = {r.id: (r.label, r.features and len(r.features), r.prediction) for r in G.score(df, coefs, ["id"], "model", carry=["label", "features"]).collect()}
+    assert got == {1: (3.0, 2, 20.0), 2: (None, 1, 10.0), None: (6.0, 1, 30.0)}
+
+
 def test_metrics_by_model(spark):
     df = spark.createDataFrame([("a", 1.0, 1.5), ("a", 2.0, 1.0), ("a", 3.0, 3.5), ("b", 4.0, 4.0)], "model string, label double, prediction double")
     got = {r.model: r for r in G.metrics_by_model(df).collect()}
